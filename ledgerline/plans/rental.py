@@ -243,10 +243,12 @@ def quarter_revenue(payments: DataFrame, as_of: dt.date | None = None) -> DataFr
     )
 
 
-def get_quarter_revenue(payments: DataFrame, day: dt.date | None) -> DataFrame:
-    """``quarter_revenue`` with a required date and ``numeric(10,2)`` revenue."""
+def get_quarter_revenue(
+    payments: DataFrame, day: dt.date | None, revenue_type: str = "decimal(10,2)"
+) -> DataFrame:
+    """``quarter_revenue`` with a required date and a declared revenue type; a sum beyond it is an error."""
     arguments.required(day, "Input date")
-    revenue = F.col("total_sales_revenue").cast("decimal(10,2)")
+    revenue = F.col("total_sales_revenue").cast(revenue_type)
     return quarter_revenue(payments, day).withColumn("total_sales_revenue", revenue)
 
 
