@@ -70,14 +70,20 @@ def amount_text(column: Column) -> Column:
 
 
 def size_text(column: Column) -> Column:
-    """Bytes in the largest unit that keeps the figure below 10240, rounded half up."""
+    """Bytes in the first unit that keeps the figure below 10240, rounded half up.
+
+    Shifts keep the arithmetic in integers: a decimal quotient rounded twice can be
+    one off.
+    """
+    n = F.abs(column.cast("bigint"))
+    sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))
     result = F.lit(None).cast("string")
     units = ["bytes", "kB", "MB", "GB", "TB", "PB"]
     for step, unit in reversed(list(enumerate(units))):
-        scaled = F.round(column.cast("decimal(38,6)") / F.lit(1024**step), 0).cast("bigint")
-        text = F.concat(scaled.cast("string"), F.lit(f" {unit}"))
-        result = text if unit == "PB" else F.when(F.abs(scaled) < 10240, text).otherwise(result)
-    return result
+        figure = n if step == 0 else F.shiftright(F.shiftright(n, 10 * step - 1) + 1, 1)
+        shown = F.concat(sign, figure.cast("string"), F.lit(f" {unit}"))
+        result = shown if unit == units[-1] else F.when(figure < 10240, shown).otherwise(result)
+    return F.when(column.isNotNull(), result)
 
 
 def message(template: str, *arguments: Column) -> Column:

@@ -52,10 +52,14 @@ _DAILY = """
       FROM orders GROUP BY 1, 2, 3)"""
 _AVERAGE = """
       CASE n WHEN 'Monday' THEN (coalesce(lag(s, 2) OVER o, 0) + coalesce(lag(s, 1) OVER o, 0) + s
-                                 + coalesce(lead(s, 1) OVER o, 0)) / 4.0
+                                 + coalesce(lead(s, 1) OVER o, 0)) * CAST(0.25 AS DECIMAL(3,2))
              WHEN 'Friday' THEN (coalesce(lag(s, 1) OVER o, 0) + s + coalesce(lead(s, 1) OVER o, 0)
-                                 + coalesce(lead(s, 2) OVER o, 0)) / 4.0
-             ELSE (coalesce(lag(s, 1) OVER o, 0) + s + coalesce(lead(s, 1) OVER o, 0)) / 3.0 END"""
+                                 + coalesce(lead(s, 2) OVER o, 0)) * CAST(0.25 AS DECIMAL(3,2))
+             END"""
+# A quarter of an amount may end in half a cent, so Mondays and Fridays stay decimal.
+_ROUNDED = f"""
+      coalesce(CAST(round({_AVERAGE}, 2) AS DOUBLE),
+               round((coalesce(lag(s, 1) OVER o, 0) + s + coalesce(lead(s, 1) OVER o, 0)) / 3.0, 2))"""
 
 
 @case(
@@ -65,7 +69,7 @@ _AVERAGE = """
     weeks AS (SELECT * FROM daily WHERE year(d) = 1999 AND w BETWEEN 49 AND 51)
     SELECT w AS calendar_week_number, strftime(d, '%Y-%m-%d') AS time_id, n AS day_name, CAST(s AS DOUBLE) AS sales,
            CAST(sum(s) OVER (ORDER BY d ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cum_sum,
-           CAST(round({_AVERAGE}, 2) AS DOUBLE) AS centered_3_day_avg
+           CAST({_ROUNDED} AS DOUBLE) AS centered_3_day_avg
     FROM weeks WINDOW o AS (ORDER BY d) ORDER BY d
     """,
 )
@@ -77,7 +81,7 @@ def r02(t: ParquetTables) -> DataFrame:
     "r02_week_reset",
     f"""
     WITH {_DAILY},
-    averaged AS (SELECT *, CAST(round({_AVERAGE}, 2) AS DOUBLE) AS avg3 FROM daily WINDOW o AS (ORDER BY d))
+    averaged AS (SELECT *, CAST({_ROUNDED} AS DOUBLE) AS avg3 FROM daily WINDOW o AS (ORDER BY d))
     SELECT w AS calendar_week_number, strftime(d, '%Y-%m-%d') AS time_id, n AS day_name, CAST(s AS DOUBLE) AS sales,
            CAST(sum(s) OVER (PARTITION BY w ORDER BY d ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cum_sum,
            avg3 AS centered_3_day_avg
