@@ -44,16 +44,33 @@ class StockLedger:
         sold = sold_per_key(batch, self.key, self.quantity)
         sold.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
 
-    def stock(self, base: DataFrame, available: str = "quantity_available", after_batch: int = -1) -> DataFrame:
-        """The base less everything recorded after batch ``after_batch``."""
+    def last_batch(self, spark: SparkSession) -> int:
+        """Largest recorded batch id; it comes from the folder names, not from the rows."""
+        return spark.read.parquet(self.root).agg(F.max("batch_id")).first()[0]
+
+    def stock(
+        self,
+        base: DataFrame,
+        available: str = "quantity_available",
+        after_batch: int = -1,
+        up_to_batch: int | None = None,
+    ) -> DataFrame:
+        """The base less what the batches after ``after_batch``, up to ``up_to_batch``, sold."""
         ledger = base.sparkSession.read.parquet(self.root).filter(F.col("batch_id") > after_batch)
+        if up_to_batch is not None:
+            ledger = ledger.filter(F.col("batch_id") <= up_to_batch)
         sold = ledger.groupBy(*self.key).agg(F.sum("sold").alias("sold"))
         left = F.col(available).cast("decimal(28,2)") - F.coalesce(F.col("sold"), F.lit(0))
         return base.join(sold, self.key, "left").withColumn(available, left.cast("decimal(28,2)")).select(*base.columns)
 
-    def compact(self, base: DataFrame, base_root: str, version: int, after_batch: int = -1) -> DataFrame:
-        """Write base and ledger as a new base version; ``version`` is the last batch it holds."""
-        return publish_snapshot(self.stock(base, after_batch=after_batch), base_root, version)
+    def compact(
+        self, base: DataFrame, base_root: str, available: str = "quantity_available", after_batch: int = -1
+    ) -> tuple[DataFrame, int]:
+        """Fold the ledger into a new base version. Returns it and the last batch it holds,
+        which is the ``after_batch`` of later reads; batches that arrive meanwhile stay out."""
+        last = self.last_batch(base.sparkSession)
+        folded = self.stock(base, available, after_batch, last)
+        return publish_snapshot(folded, base_root, last), last
 
 
 def run_available(facts: DataFrame, ledger: StockLedger, checkpoint: str) -> StreamingQuery:
