@@ -36,14 +36,34 @@ def resolve_key(
     return facts.join(right, same, "left").drop(*[f"__d_{i}" for i in range(len(on))])
 
 
-def present(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    """``EXISTS`` / ``IN (subquery)``."""
-    return df.join(other.select(*on), list(on), "left_semi")
+def _keys(other: DataFrame, on: Sequence[str], unique: bool) -> DataFrame:
+    """The join keys of the right side, each once.
+
+    In a semi or anti join AQE can split a hot key only on the left. On the right it
+    is made one row per task before the shuffle, which the join then reuses.
+    """
+    keys = other.select(*on)
+    return keys if unique else keys.distinct()
+
+
+def present(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
+    """``EXISTS`` / ``IN (subquery)``. ``unique`` says that ``other`` holds each key once."""
+    return df.join(_keys(other, on, unique), list(on), "left_semi")
 
 
-def absent(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+def absent(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
     """``NOT EXISTS``: rows without a partner, rows with a NULL key among them."""
-    return df.join(other.select(*on), list(on), "left_anti")
+    return df.join(_keys(other, on, unique), list(on), "left_anti")
+
+
+def left_join_many(df: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left outer join with a side that may repeat a key without limit.
+
+    A left outer join cannot be split on its right side. The matches are an inner
+    join, which can, and the rows without any are added by an anti join.
+    """
+    matched = df.join(many, list(on), "inner")
+    return matched.unionByName(absent(df, many, on), allowMissingColumns=True)
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -55,16 +75,17 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     and a NULL on the left is kept only by an empty list.
     """
     listed = other.select(F.col(other_column).alias("__listed"))
-    size = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nulls = listed.agg(F.count(F.when(F.col("__listed").isNull(), 1)).alias("n")).scalar()
-    kept = df.join(listed, F.col(column) == F.col("__listed"), "left_anti")
-    return kept.filter((size == 0) | ((nulls == 0) & F.col(column).isNotNull()))
+    figures = listed.agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("__listed").isNull(), 1)).alias("nulls")).alias("f")
+    ).scalar()
+    kept = df.join(listed.distinct(), F.col(column) == F.col("__listed"), "left_anti")
+    return kept.filter((figures["n"] == 0) | ((figures["nulls"] == 0) & F.col(column).isNotNull()))
 
 
 def in_pairs(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple]) -> DataFrame:
-    """Row-value ``IN`` as a semi join on the literal list; the caller's list bounds the broadcast."""
-    listed = df.sparkSession.createDataFrame([tuple(p) for p in pairs], df.select(*columns).schema)
-    return df.join(F.broadcast(listed.distinct()), list(columns), "left_semi")
+    """Row-value ``IN`` as a semi join on the literal list, which Spark broadcasts by its known size."""
+    listed = [tuple(p) for p in dict.fromkeys(pairs)]
+    return df.join(df.sparkSession.createDataFrame(listed, df.select(*columns).schema), list(columns), "left_semi")
 
 
 def only_value(df: DataFrame, column: str) -> Column:

@@ -49,7 +49,7 @@ def insert_absent(
 ) -> DataFrame:
     """The rows to append: first of each natural key in the batch, unless the table has the key."""
     chosen = order or [F.col(c).asc_nulls_last() for c in batch.columns]
-    return absent(first_per_key(batch, natural, chosen), table, natural)
+    return absent(first_per_key(batch, natural, chosen), table, natural, unique=True)
 
 
 def insert_absent_child(
@@ -93,17 +93,30 @@ def bridge_rows(
 
 
 def missing_pairs(
-    items: DataFrame, item_key: str, item_name: str, names: Sequence[str], places: DataFrame, place_key: str, existing: DataFrame
+    items: DataFrame,
+    item_key: str,
+    item_name: str,
+    names: Sequence[str],
+    places: DataFrame,
+    place_key: str,
+    existing: DataFrame,
+    spread: int = 16,
 ) -> DataFrame:
     """Every named item at every place where it is not kept yet.
 
     The names are a short parameter list, so each place row carries it as an array
     and the items join by name. The output is the wanted set of pairs; no other
-    pair is formed.
+    pair is formed. As there are few names, each is spread over ``spread`` salts.
     """
-    wanted = places.select(place_key, F.explode(F.array(*[F.lit(n) for n in dict.fromkeys(names)])).alias(item_name))
-    chosen = items.filter(F.col(item_name).isin(list(names))).select(item_name, item_key)
-    pairs = wanted.join(chosen, item_name, "inner").select(item_key, place_key)
+    wanted = places.select(
+        place_key,
+        F.pmod(F.xxhash64(place_key), F.lit(spread)).alias("__salt"),
+        F.explode(F.array(*[F.lit(n) for n in dict.fromkeys(names)])).alias(item_name),
+    )
+    chosen = items.filter(F.col(item_name).isin(list(names))).select(
+        item_name, item_key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))).alias("__salt")
+    )
+    pairs = wanted.join(chosen, [item_name, "__salt"], "inner").select(item_key, place_key)
     return absent(pairs, existing, [item_key, place_key])
 
 
@@ -216,7 +229,7 @@ def cascade_delete(
         kept = absent(table, doomed, doomed.columns) if name == start else table
         for r in references:
             if r.child == name and r.parent in deleted:
-                kept = absent(kept, _as_child(deleted[r.parent], r), list(r.columns))
+                kept = absent(kept, _as_child(deleted[r.parent], r), list(r.columns), unique=True)
         result[name] = kept.select(*table.columns)
     return result
 

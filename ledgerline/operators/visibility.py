@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.lookup import present
+
 
 def visible_rows(rows: DataFrame, entitlements: DataFrame, user: str, owner: str = "customer_id") -> DataFrame:
     """Rows whose owner ``user`` may see."""
     mine = entitlements.filter(F.col("user_name") == user).select(owner)
-    return rows.join(mine, owner, "left_semi").select(*rows.columns)
+    return present(rows, mine, [owner]).select(*rows.columns)
 
 
 def rows_per_user(rows: DataFrame, entitlements: DataFrame, owner: str = "customer_id") -> DataFrame:

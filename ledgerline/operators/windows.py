@@ -34,8 +34,8 @@ def partition_total(value: str, partition_by: Sequence[str]) -> Column:
     return F.sum(value).over(W.partitionBy(*partition_by))
 
 
-def _bucket_offsets(totals: DataFrame, fixed: list[str], levels: list[str]) -> DataFrame:
-    """Sum of all earlier buckets, per bucket.
+def _bucket_offsets(totals: DataFrame, fixed: list[str], levels: list[str], values: list[str]) -> DataFrame:
+    """Sum of all earlier buckets, per bucket and value.
 
     Earlier means earlier at the last level within the same parent, plus the
     offset of that parent; so no step sorts more than one parent's children.
@@ -46,20 +46,28 @@ def _bucket_offsets(totals: DataFrame, fixed: list[str], levels: list[str]) -> D
         .orderBy(*ascending(last))
         .rowsBetween(W.unboundedPreceding, -1)
     )
-    inside = totals.withColumn("__offset", F.coalesce(F.sum(_VALUE).over(before), F.lit(0)))
+    inside = totals.select(
+        *fixed, *levels, *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(v) for v in values]
+    )
     if not parent:
-        return inside.drop(_VALUE)
-    parent_totals = totals.groupBy(*fixed, *parent).agg(F.sum(_VALUE).alias(_VALUE))
-    above = _bucket_offsets(parent_totals, fixed, parent).withColumnRenamed("__offset", "__above")
-    above = above.select(*[F.col(c).alias(f"__p_{c}") for c in [*fixed, *parent]], "__above")
-    same_parent = F.lit(True)
-    for c in [*fixed, *parent]:
-        same_parent = same_parent & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    return inside.join(above, same_parent, "inner").select(
-        *fixed, *levels, (F.col("__offset") + F.col("__above")).alias("__offset")
+        return inside
+    parent_totals = totals.groupBy(*fixed, *parent).agg(*[F.sum(v).alias(v) for v in values])
+    above = _bucket_offsets(parent_totals, fixed, parent, values).select(
+        *[F.col(c).alias(f"__p_{c}") for c in [*fixed, *parent]], *[F.col(v).alias(f"__above_{v}") for v in values]
+    )
+    return inside.join(above, _same([*fixed, *parent], "__p_"), "inner").select(
+        *fixed, *levels, *[(F.col(v) + F.col(f"__above_{v}")).alias(v) for v in values]
     )
 
 
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """Each column equals its prefixed copy, NULL equal to NULL."""
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return condition
+
+
 def range_buckets(df: DataFrame, order_by: Sequence[Column], name: str = "__range") -> DataFrame:
     """Cut ``df`` into ranges of ``order_by`` of about equal size, as many as shuffle partitions.
 
@@ -72,23 +80,22 @@ def range_buckets(df: DataFrame, order_by: Sequence[Column], name: str = "__rang
     return cut_lineage(cut.withColumn(name, F.spark_partition_id()))
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
-    value: Column,
+    values: Mapping[str, tuple[Column, str]],
     order_by: Sequence[Column],
     buckets: Mapping[str, Column] | None = None,
-    name: str = "running_total",
     partition_by: Sequence[str] = (),
-    value_type: str = "decimal(38,2)",
 ) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY .. ORDER BY .. ROWS UNBOUNDED PRECEDING)`` at any size.
 
-    ``buckets`` are named expressions, outermost first, that never decrease along
-    ``order_by`` (year, then day, then ``id div 1000000``). Choose the innermost so
-    that its buckets have a known largest size; a unique id cut into ranges does.
-    Without them, ``range_buckets`` finds some. Each bucket then gets one leading row
-    that carries the sum of all earlier buckets, so the result needs one shuffle of
-    the rows and no join.
+    ``values`` maps each output column to its value and exact type. ``buckets`` are
+    named expressions, outermost first, that never decrease along ``order_by`` (year,
+    then day, then ``id div 1000000``). Choose the innermost so that its buckets have
+    a known largest size; a unique id cut into ranges does. Without them,
+    ``range_buckets`` finds some. Each bucket then gets one leading row that carries
+    the sums of all earlier buckets, so the result needs one shuffle of the rows and
+    no join. A NULL value adds nothing.
     """
     if buckets is None:
         by = [F.col(c).asc_nulls_last() for c in partition_by]
@@ -96,10 +103,12 @@ def running_total(
         order_by = [*order_by, F.col("__tie").asc()]
         buckets = {"__range": F.col("__range")}
     fixed, levels = list(partition_by), list(buckets)
-    valued = df.withColumns({**buckets, _VALUE: value.cast(value_type)})
-    totals = valued.groupBy(*fixed, *levels).agg(F.sum(_VALUE).cast(value_type).alias(_VALUE))
-    seeds = _bucket_offsets(totals, fixed, levels).select(
-        *fixed, *levels, F.col("__offset").cast(value_type).alias(_VALUE), F.lit(0).alias(_ROW)
+    inputs = {f"{_VALUE}_{name}": F.coalesce(value, F.lit(0)).cast(kind) for name, (value, kind) in values.items()}
+    kinds = {f"{_VALUE}_{name}": kind for name, (_, kind) in values.items()}
+    valued = df.withColumns({**buckets, **inputs})
+    totals = valued.groupBy(*fixed, *levels).agg(*[F.sum(v).cast(kinds[v]).alias(v) for v in inputs])
+    seeds = _bucket_offsets(totals, fixed, levels, list(inputs)).select(
+        *fixed, *levels, *[F.col(v).cast(kinds[v]).alias(v) for v in inputs], F.lit(0).alias(_ROW)
     )
     rows = valued.withColumn(_ROW, F.lit(1)).unionByName(seeds, allowMissingColumns=True)
     window = (
@@ -107,11 +116,21 @@ def running_total(
         .orderBy(F.col(_ROW), *order_by)
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    return (
-        rows.withColumn(name, F.sum(_VALUE).over(window).cast(value_type))
-        .filter(F.col(_ROW) == 1)
-        .drop(_VALUE, _ROW, "__tie", *levels)
-    )
+    summed = {name: F.sum(f"{_VALUE}_{name}").over(window).cast(kind) for name, (_, kind) in values.items()}
+    return rows.withColumns(summed).filter(F.col(_ROW) == 1).drop(*inputs, _ROW, "__tie", *levels)
+
+
+def running_total(
+    df: DataFrame,
+    value: Column,
+    order_by: Sequence[Column],
+    buckets: Mapping[str, Column] | None = None,
+    name: str = "running_total",
+    partition_by: Sequence[str] = (),
+    value_type: str = "decimal(38,2)",
+) -> DataFrame:
+    """``running_totals`` of one value."""
+    return running_totals(df, {name: (value, value_type)}, order_by, buckets, partition_by)
 
 
 def number_rows(
@@ -120,9 +139,10 @@ def number_rows(
     buckets: Mapping[str, Column] | None = None,
     name: str = "row_num",
     start: int | Column = 0,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Dense numbers ``start + 1, start + 2, ...`` in a declared total order."""
-    numbered = running_total(df, F.lit(1), order_by, buckets, name, value_type="bigint")
+    """Dense numbers ``start + 1, start + 2, ...`` in a declared total order, per partition if one is given."""
+    numbered = running_total(df, F.lit(1), order_by, buckets, name, partition_by, "bigint")
     base = start if isinstance(start, Column) else F.lit(start)
     return numbered.withColumn(name, (F.col(name) + base).cast("bigint"))
 
@@ -179,8 +199,8 @@ def groups_frame(
     totals; the rows then pick their group's figure up by an equi-join. ``None`` is
     an unbounded side; negative numbers are preceding groups.
 
-    Without ``partition_by`` the frame sorts the *distinct* order keys in one task;
-    use ``running_groups_total`` when those are many.
+    The window sorts the *distinct* order keys of one partition in one task. Where
+    those may be many, ``large_groups_frame`` does the same in buckets.
     """
     window = (
         W.partitionBy(*partition_by)
@@ -196,6 +216,61 @@ def groups_frame(
     return _attach(df, framed, [*partition_by, order_by], name)
 
 
+def large_groups_frame(
+    df: DataFrame,
+    value: Column,
+    order_by: str,
+    name: str,
+    lower: int | None = None,
+    upper: int | None = 0,
+    partition_by: Sequence[str] = (),
+    value_type: str = "decimal(38,2)",
+    buckets: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """``groups_frame`` for any number of distinct keys.
+
+    Peer groups get their number and the running sum up to them. The sum over a
+    frame is then the difference of two running sums, which a peer group fetches
+    from the groups at the frame's ends by equi-joins on the group number.
+    """
+    parts = list(partition_by)
+    peers = peer_totals(df, value, order_by, parts, value_type)
+    figures = {
+        "__g": (F.lit(1), "bigint"),
+        "__s": (F.col(_VALUE), value_type),
+        # How many sums are not NULL: a frame without any is NULL, not 0.
+        "__n": (F.col(_VALUE).isNotNull().cast("int"), "bigint"),
+    }
+    running = running_totals(peers, figures, ascending(order_by), buckets, parts).select(
+        *parts, order_by, "__g", "__s", "__n"
+    )
+    whole = running.groupBy(*parts).agg(*[F.max_by(c, "__g").alias(f"__all{c}") for c in ("__g", "__s", "__n")])
+    whole = whole.select(*[F.col(c).alias(f"__w_{c}") for c in parts], "__all__g", "__all__s", "__all__n")
+    if parts:
+        framed = running.join(whole, _same(parts, "__w_"), "inner")
+    else:
+        one = whole.select(F.struct("__all__g", "__all__s", "__all__n").alias("w")).scalar()
+        framed = running.withColumn("__w", one).select("*", "__w.*").drop("__w")
+
+    def fetch(rows: DataFrame, position: Column, tag: str) -> DataFrame:
+        ends = running.select(
+            *[F.col(c).alias(f"__{tag}_{c}") for c in parts],
+            F.col("__g").alias(f"__{tag}g"), F.col("__s").alias(f"__{tag}s"), F.col("__n").alias(f"__{tag}n"),
+        )
+        at = _same(parts, f"__{tag}_") & (position == F.col(f"__{tag}g"))
+        return rows.join(ends, at, "left")
+
+    g, last = F.col("__g"), F.col("__all__g")
+    first_in = F.lit(1) if lower is None else F.greatest(g + lower, F.lit(1))
+    last_in = last if upper is None else F.least(g + upper, last)
+    framed = fetch(framed.withColumns({"__from": first_in - 1, "__to": last_in}), F.col("__from"), "lo")
+    framed = fetch(framed, F.col("__to"), "hi")
+    total = F.col("__his") - F.coalesce(F.col("__los"), F.lit(0))
+    counted = F.col("__hin") - F.coalesce(F.col("__lon"), F.lit(0))
+    result = F.when((F.col("__to") > F.col("__from")) & (counted > 0), total).cast(value_type)
+    return _attach(df, framed.select(*parts, order_by, result.alias(name)), [*parts, order_by], name)
+
+
 def running_groups_total(
     df: DataFrame,
     value: Column,
@@ -215,10 +290,7 @@ def running_groups_total(
 
 def _attach(df: DataFrame, framed: DataFrame, keys: list[str], name: str) -> DataFrame:
     right = framed.select(*[F.col(k).alias(f"__k_{k}") for k in keys], name)
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return df.join(right, same, "inner").drop(*[f"__k_{k}" for k in keys])
+    return df.join(right, _same(keys, "__k_"), "inner").drop(*[f"__k_{k}" for k in keys])
 
 
 def weekday_centered_average(sales: str, day: str, day_name: str, partition_by: Sequence[str] = ()) -> Column:

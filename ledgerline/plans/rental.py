@@ -18,7 +18,7 @@ from ledgerline.functions import calendar as cal
 from ledgerline.functions.numbers import MONEY, total
 from ledgerline.functions.text import AUDIENCE_BY_RATING, in_texts, join_skipping_nulls, label_for, same_text
 from ledgerline.operators import mutate, windows
-from ledgerline.operators.lookup import not_in, present
+from ledgerline.operators.lookup import left_join_many, not_in, present
 from ledgerline.operators.ordering import ascending, top_k, top_rank_per_group
 from ledgerline.operators.pivot import conditional_counts
 
@@ -315,7 +315,7 @@ def films_in_stock(
     )
     past = rentals.select("inventory_id", "customer_id", "rental_date")
     listed = (
-        free.join(past, "inventory_id", "left")
+        left_join_many(free, past, ["inventory_id"])
         .join(names, "customer_id", "left")
         # Also without a rental the name is the blank between two empty parts.
         .withColumn("customer_name", F.coalesce("customer_name", F.lit(" ")))
@@ -450,7 +450,7 @@ def rent_titles(
     wanted = film.filter(F.col("title").isin(list(titles))).select("film_id")
     renter = customer_id if isinstance(customer_id, Column) else F.lit(customer_id)
     rows = (
-        present(inventory, wanted, ["film_id"])
+        present(inventory, wanted, ["film_id"], unique=True)
         .select("inventory_id", "store_id")
         .join(staff.select("staff_id", "store_id"), "store_id", "inner")
     )

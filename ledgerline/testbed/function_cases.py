@@ -12,6 +12,7 @@ from ledgerline.functions import numbers as num
 from ledgerline.functions import text
 from ledgerline.operators import lookup, pivot
 from ledgerline.operators.ordering import ascending, descending, first_per_key, top_k
+from ledgerline.operators.windows import number_rows
 from ledgerline.sources.tables import ParquetTables, array_rows, inline
 from ledgerline.testbed.registry import case, shown
 
@@ -330,7 +331,8 @@ def j01(t: ParquetTables) -> DataFrame:
 def j05(t: ParquetTables) -> DataFrame:
     """All customers, with their large finished orders where there are any."""
     large = t["orders"].filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000))
-    return t["customer"].join(large, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", "o_orderkey")
+    named = large.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return lookup.left_join_many(t["customer"].select("c_custkey"), named, ["c_custkey"])
 
 
 @case(
@@ -448,14 +450,11 @@ def a11(t: ParquetTables) -> DataFrame:
 )
 def k01(t: ParquetTables) -> DataFrame:
     """NULL last going up and first going down."""
-    from pyspark.sql import Window as W
-
-    from ledgerline.operators.windows import number_rows
-
     c = t["customer"].select("c_custkey", "c_nationkey", F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY")).alias("seg"))
-    up = number_rows(c, ascending("seg", "c_custkey"), {"b_segment": F.col("seg"), "b_key": F.floor(F.col("c_custkey") / 100000)}, "up")
-    w = W.partitionBy("c_nationkey").orderBy(*descending("seg", "c_custkey"))
-    return up.select("c_custkey", F.col("up").cast("int").alias("up"), F.row_number().over(w).alias("down"))
+    buckets = {"b_segment": F.col("seg"), "b_key": F.floor(F.col("c_custkey") / 100_000)}
+    up = number_rows(c, ascending("seg", "c_custkey"), buckets, "up")
+    both = number_rows(up, descending("seg", "c_custkey"), None, "down", partition_by=["c_nationkey"])
+    return both.select("c_custkey", F.col("up").cast("int").alias("up"), F.col("down").cast("int").alias("down"))
 
 
 @case(

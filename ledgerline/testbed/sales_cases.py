@@ -406,6 +406,33 @@ def w09_all(t: ParquetTables) -> DataFrame:
     return shown(total.select("o_orderkey", "running_total"))
 
 
+@case(
+    "w09_groups_around_all_lines",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) OVER (
+             PARTITION BY l_returnflag ORDER BY l_orderkey GROUPS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS DOUBLE)
+             AS around
+    FROM lineitem
+    """,
+)
+def w09_around(t: ParquetTables) -> DataFrame:
+    """A GROUPS frame with two bounded sides over three large partitions."""
+    lines = t["lineitem"].select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").cast(MONEY).alias("amount")
+    )
+    framed = windows.large_groups_frame(
+        lines,
+        F.col("amount"),
+        "l_orderkey",
+        "around",
+        -2,
+        1,
+        ["l_returnflag"],
+        buckets={"b_key": F.floor(F.col("l_orderkey") / 100_000)},
+    )
+    return shown(framed.select("l_orderkey", "l_linenumber", "l_partkey", "around"))
+
+
 @case(
     "w11_row_numbers",
     """

@@ -63,6 +63,19 @@ def test_groups_frame_against_brute_force(spark, data, bounds):
     df = spark.createDataFrame(data, "k int, v int")
     got = windows.groups_frame(df, F.col("v"), "k", "t", *bounds, value_type="bigint")
     assert sorted(rows(got, "k", "v", "t"), key=str) == brute_groups(data, *bounds)
+    buckets = {"b": F.floor(F.col("k") / 2)}
+    large = windows.large_groups_frame(df, F.col("v"), "k", "t", *bounds, value_type="bigint", buckets=buckets)
+    assert sorted(rows(large, "k", "v", "t"), key=str) == brute_groups(data, *bounds)
+
+
+def test_large_groups_frame_per_partition_and_with_null_values(spark):
+    data = [("a", 1, 1), ("a", 1, None), ("a", 2, None), ("a", 5, 4), ("b", 2, 7), (None, 3, 8), ("a", None, 9)]
+    df = spark.createDataFrame(data, "p string, k int, v int")
+    for bounds in ((None, 0), (-1, 1), (1, 2), (-3, -1), (0, 0), (None, None), (2, None)):
+        plain = windows.groups_frame(df, F.col("v"), "k", "t", *bounds, ["p"], "bigint")
+        large = windows.large_groups_frame(df, F.col("v"), "k", "t", *bounds, ["p"], "bigint", {"b": F.floor(F.col("k") / 2)})
+        sampled = windows.large_groups_frame(df, F.col("v"), "k", "t", *bounds, ["p"], "bigint")
+        assert row_set(plain) == row_set(large) == row_set(sampled), bounds
 
 
 @SLOW
