@@ -43,9 +43,15 @@ def max_length(column: str, length: int) -> RowRule:
 
 
 def fits_decimal(column: str, precision: int, scale: int) -> RowRule:
-    """Breaks where the value has too many integer digits; more decimals than ``scale`` are rounded, as on insert."""
-    cast = F.col(column).try_cast(f"decimal({precision},{scale})")
-    return RowRule("precision", F.col(column).isNotNull() & cast.isNull(), f"{column} exceeds decimal({precision},{scale})")
+    """Breaks where the value has too many integer digits or is no number.
+
+    More decimals than ``scale`` are rounded, as on insert. The value is widened and
+    compared: a cast that fails costs an exception per row.
+    """
+    wide = F.col(column).try_cast(f"decimal(38,{scale})")
+    too_long = F.abs(wide) >= F.lit(10 ** (precision - scale))
+    broken = F.col(column).isNotNull() & (wide.isNull() | too_long)
+    return RowRule("precision", broken, f"{column} exceeds decimal({precision},{scale})")
 
 
 @dataclass(frozen=True)

@@ -10,17 +10,23 @@ from pyspark.sql import functions as F
 
 
 class ParquetTables:
-    """Tables below one folder: ``tables["orders"]`` reads ``<root>/orders.parquet``."""
+    """Tables below one folder: ``tables["orders"]`` reads ``<root>/orders.parquet``.
+
+    Files are listed and a footer is read once per table, however often a plan uses it.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._open: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return posixpath.join(self.root, f"{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(self.path(name))
+        return self._open[name]
 
 
 def inline(spark: SparkSession, schema: str, *rows: tuple) -> DataFrame:
