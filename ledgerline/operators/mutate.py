@@ -31,8 +31,8 @@ def assign_keys(
     order_by: Sequence[Column],
     buckets: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Give ``rows`` the keys after the largest one in ``table``, in a declared order."""
-    return number_rows(rows, order_by, buckets, key, next_key_base(table, key))
+    """Give ``rows`` the keys after the largest one in ``table``, in an order that is unique."""
+    return number_rows(rows, order_by, buckets, key, next_key_base(table, key), unique_order=True)
 
 
 def assign_unordered_keys(

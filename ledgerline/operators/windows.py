@@ -5,7 +5,7 @@ and a row number over a whole table. ``running_total`` cuts the order into
 buckets instead, adds up each bucket, and starts every bucket with the sum of
 those before it. The buckets are either expressions the caller gives (the plan
 stays lazy) or ranges sampled from the data (even sizes for any distribution, at
-the price of one checkpoint).
+the price of writing the rows to the checkpoint folder).
 """
 
 from __future__ import annotations
@@ -68,15 +68,23 @@ def _same(columns: Sequence[str], prefix: str) -> Column:
     return condition
 
 
-def range_buckets(df: DataFrame, order_by: Sequence[Column], name: str = "__range") -> DataFrame:
-    """Cut ``df`` into ranges of ``order_by`` of about equal size, as many as shuffle partitions.
+def range_buckets(
+    df: DataFrame, order_by: Sequence[Column], unique_order: bool = False, name: str = "__range"
+) -> DataFrame:
+    """Cut ``df`` into ranges of ``order_by`` of about equal size, four per shuffle partition.
 
-    The ranges are sampled, so they are written to the checkpoint folder: a range
-    number that later stages compute anew could differ. A random last key lets even
-    a run of equal rows be cut.
+    Ranges are later spread over tasks by hash; several per task even that out. They
+    are sampled, so they are written to the checkpoint folder: a range number that
+    later stages compute anew could differ. Unless the order tells every row from
+    every other, the rows are written with a last key ``__tie`` before, so that even
+    a run of equal rows can be cut and a retried task cuts it in the same place.
     """
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.withColumn("__tie", F.rand(7)).repartitionByRange(ranges, *order_by, F.col("__tie").asc())
+    ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if unique_order:
+        stored = df.withColumn("__tie", F.lit(0).cast("bigint"))
+    else:
+        stored = cut_lineage(df.withColumn("__tie", F.monotonically_increasing_id()))
+    cut = stored.repartitionByRange(ranges, *order_by, F.col("__tie").asc())
     return cut_lineage(cut.withColumn(name, F.spark_partition_id()))
 
 
@@ -86,6 +94,7 @@ def running_totals(
     order_by: Sequence[Column],
     buckets: Mapping[str, Column] | None = None,
     partition_by: Sequence[str] = (),
+    unique_order: bool = False,
 ) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY .. ORDER BY .. ROWS UNBOUNDED PRECEDING)`` at any size.
 
@@ -93,13 +102,13 @@ def running_totals(
     named expressions, outermost first, that never decrease along ``order_by`` (year,
     then day, then ``id div 1000000``). Choose the innermost so that its buckets have
     a known largest size; a unique id cut into ranges does. Without them,
-    ``range_buckets`` finds some. Each bucket then gets one leading row that carries
+    ``range_buckets`` finds some, with one write less where ``unique_order`` holds. Each bucket then gets one leading row that carries
     the sums of all earlier buckets, so the result needs one shuffle of the rows and
     no join. A NULL value adds nothing.
     """
     if buckets is None:
         by = [F.col(c).asc_nulls_last() for c in partition_by]
-        df = range_buckets(df, [*by, *order_by])
+        df = range_buckets(df, [*by, *order_by], unique_order)
         order_by = [*order_by, F.col("__tie").asc()]
         buckets = {"__range": F.col("__range")}
     fixed, levels = list(partition_by), list(buckets)
@@ -128,9 +137,10 @@ def running_total(
     name: str = "running_total",
     partition_by: Sequence[str] = (),
     value_type: str = "decimal(38,2)",
+    unique_order: bool = False,
 ) -> DataFrame:
     """``running_totals`` of one value."""
-    return running_totals(df, {name: (value, value_type)}, order_by, buckets, partition_by)
+    return running_totals(df, {name: (value, value_type)}, order_by, buckets, partition_by, unique_order)
 
 
 def number_rows(
@@ -140,9 +150,10 @@ def number_rows(
     name: str = "row_num",
     start: int | Column = 0,
     partition_by: Sequence[str] = (),
+    unique_order: bool = False,
 ) -> DataFrame:
     """Dense numbers ``start + 1, start + 2, ...`` in a declared total order, per partition if one is given."""
-    numbered = running_total(df, F.lit(1), order_by, buckets, name, partition_by, "bigint")
+    numbered = running_total(df, F.lit(1), order_by, buckets, name, partition_by, "bigint", unique_order)
     base = start if isinstance(start, Column) else F.lit(start)
     return numbered.withColumn(name, (F.col(name) + base).cast("bigint"))
 
@@ -241,8 +252,10 @@ def large_groups_frame(
         # How many sums are not NULL: a frame without any is NULL, not 0.
         "__n": (F.col(_VALUE).isNotNull().cast("int"), "bigint"),
     }
-    running = running_totals(peers, figures, ascending(order_by), buckets, parts).select(
-        *parts, order_by, "__g", "__s", "__n"
+    running = cut_lineage(
+        running_totals(peers, figures, ascending(order_by), buckets, parts, unique_order=True).select(
+            *parts, order_by, "__g", "__s", "__n"
+        )
     )
     whole = running.groupBy(*parts).agg(*[F.max_by(c, "__g").alias(f"__all{c}") for c in ("__g", "__s", "__n")])
     whole = whole.select(*[F.col(c).alias(f"__w_{c}") for c in parts], "__all__g", "__all__s", "__all__n")
@@ -283,7 +296,7 @@ def running_groups_total(
     """RANGE or GROUPS ``UNBOUNDED PRECEDING .. CURRENT ROW`` over any number of distinct keys."""
     peers = peer_totals(df, value, order_by, partition_by, value_type)
     framed = running_total(
-        peers, F.col(_VALUE), ascending(order_by), buckets, name, partition_by, value_type
+        peers, F.col(_VALUE), ascending(order_by), buckets, name, partition_by, value_type, unique_order=True
     )
     return _attach(df, framed.select(*partition_by, order_by, name), [*partition_by, order_by], name)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +23,7 @@ def local_session(name: str = "ledgerline", cores: str = "*", shuffle_partitions
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for ``DataFrame.checkpoint``.
+    """Folder for intermediate tables.
 
     The cluster names a shared one in ``spark.checkpoint.dir``. Only a local
     master, where every task sees the same disk, may fall back to a temporary one.
@@ -41,6 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once, so later branches do not recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to a table below the checkpoint folder and read it from there.
+
+    Later branches do not compute it anew, and a lost executor cannot bring other
+    values. A parquet table rather than ``checkpoint()``: it is smaller, and each
+    reader takes only the columns it needs. The table stays until the folder is
+    cleaned, as checkpoints do.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/ledgerline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

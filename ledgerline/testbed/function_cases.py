@@ -453,7 +453,7 @@ def k01(t: ParquetTables) -> DataFrame:
     c = t["customer"].select("c_custkey", "c_nationkey", F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY")).alias("seg"))
     buckets = {"b_segment": F.col("seg"), "b_key": F.floor(F.col("c_custkey") / 100_000)}
     up = number_rows(c, ascending("seg", "c_custkey"), buckets, "up")
-    both = number_rows(up, descending("seg", "c_custkey"), None, "down", partition_by=["c_nationkey"])
+    both = number_rows(up, descending("seg", "c_custkey"), None, "down", partition_by=["c_nationkey"], unique_order=True)
     return both.select("c_custkey", F.col("up").cast("int").alias("up"), F.col("down").cast("int").alias("down"))
 
 
