@@ -26,7 +26,8 @@ def price_facts(
     """
     looked_up = facts.drop(amount).join(prices.select(key, price), key, "left")
     exact = F.col(quantity).cast(QUANTITY) * F.col(price).cast(MONEY)
-    return looked_up.withColumn(amount, F.round(exact, 2).cast(MONEY)).drop(price)
+    columns = facts.columns if amount in facts.columns else [*facts.columns, amount]
+    return looked_up.withColumn(amount, F.round(exact, 2).cast(MONEY)).select(*columns)
 
 
 def split_rejects(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
@@ -76,8 +77,7 @@ def accept_batch(
         raise ValueError("reject must be 'batch' or 'key'")
     return (
         facts.join(bad.withColumn("__bad", F.lit(True)), list(key), "left")
-        .withColumn("accepted", F.col("__bad").isNull())
-        .drop("__bad")
+        .select(*facts.columns, F.col("__bad").isNull().alias("accepted"))
     )
 
 

@@ -48,12 +48,12 @@ def _keys(other: DataFrame, on: Sequence[str], unique: bool) -> DataFrame:
 
 def present(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
     """``EXISTS`` / ``IN (subquery)``. ``unique`` says that ``other`` holds each key once."""
-    return df.join(_keys(other, on, unique), list(on), "left_semi")
+    return df.join(_keys(other, on, unique), list(on), "left_semi").select(*df.columns)
 
 
 def absent(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
     """``NOT EXISTS``: rows without a partner, rows with a NULL key among them."""
-    return df.join(_keys(other, on, unique), list(on), "left_anti")
+    return df.join(_keys(other, on, unique), list(on), "left_anti").select(*df.columns)
 
 
 def left_join_many(df: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -12,7 +12,15 @@ from ledgerline.functions import calendar as cal
 from ledgerline.functions.numbers import total
 from ledgerline.functions.text import list_text, message
 from ledgerline.operators import quality as q
-from ledgerline.operators.ingest import first_failure, price_facts, resolve_all
+from ledgerline.operators.ingest import (
+    accept_batch,
+    first_failure,
+    fold_stock,
+    price_facts,
+    resolve_all,
+    split_rejects,
+)
+from ledgerline.operators.mutate import assign_keys
 from ledgerline.operators.ordering import ascending, top_k
 
 # The texts the patch and load jobs answer with.
@@ -147,6 +155,44 @@ def load_transactions(
     return priced.withColumn("inserted", failure.isNull()).withColumn("status", F.coalesce(failure, success))
 
 
+def record_sales(
+    incoming: DataFrame,
+    stations: DataFrame,
+    fuels: DataFrame,
+    customers: DataFrame,
+    transactions: DataFrame,
+    inventory: DataFrame,
+    reject: str = "batch",
+    chunk: int = 100_000,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The whole write path of a batch of sales (``seq`` and the columns of ``load_transactions``).
+
+    Names are resolved and amounts computed; a row with an unknown name or one that
+    breaks a rule of the transaction table is refused; then the balance rule is applied
+    (see ``accept_batch``). Returns the transactions to append with new keys, the refused
+    rows with a reason, and the new stock.
+    """
+    loaded = load_transactions(incoming, stations, fuels, customers)
+    broken = first_failure(*[(r.broken, r.reason) for r in rules()["transaction"].rows])
+    verdict = F.when(~F.col("inserted"), F.col("status")).otherwise(broken)
+    good, bad = split_rejects(loaded, verdict)
+    pair = ["station_id", "fuel_type_id"]
+    judged = accept_batch(inventory, good, pair, quantity="quantity_sold", reject=reject)
+    accepted = judged.filter(F.col("accepted"))
+    overdrawn = judged.filter(~F.col("accepted")).select("seq", F.lit("stock would fall below zero").alias("reason"))
+
+    columns = [c for c in transactions.columns if c != "transaction_id"]
+    keyed = assign_keys(
+        accepted.select("seq", *columns),
+        transactions,
+        "transaction_id",
+        ascending("seq"),
+        {"__b": F.floor(F.col("seq") / F.lit(chunk))},
+    )
+    stock = fold_stock(inventory, accepted, pair, quantity="quantity_sold")
+    return keyed.select(*transactions.columns), bad.select("seq", "reason").unionByName(overdrawn), stock
+
+
 def with_full_name(customers: DataFrame) -> DataFrame:
     """The stored generated column: first and last name, NULL if either is."""
     return customers.withColumn("full_name", F.concat("first_name", F.lit(" "), "last_name"))

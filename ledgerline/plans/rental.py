@@ -466,3 +466,44 @@ def rent_titles(
             F.lit(today).alias("last_update"),
         )
     )
+
+
+def take_over_customer(
+    tables: RentalTables,
+    person: Mapping[str, Column],
+    titles: Sequence[str],
+    as_of: dt.date | None = None,
+    min_rentals: int = 43,
+    min_payments: int = 43,
+    chunk: int = 100_000,
+) -> dict[str, DataFrame]:
+    """Give one heavy customer new personal data and a fresh start with the listed titles.
+
+    The customer row is updated, the customer's payments and rentals are deleted, every
+    copy of the titles is rented for a week and paid for at what the film's terms ask.
+    Returns the new ``customer``, ``rental`` and ``payment``; without a customer heavy
+    enough nothing changes.
+    """
+    today = cal.as_of_or_today(as_of)
+    chosen = any_customer(heavy_customers(tables.rental, tables.payment, min_rentals, min_payments))
+    customer = mutate.update_where_key(tables.customer, chosen, "customer_id", person)
+    rentals = mutate.delete_keys(tables.rental, chosen, ["customer_id"])
+    payments = mutate.delete_keys(tables.payment, chosen, ["customer_id"])
+
+    rented = rent_titles(
+        tables.inventory, tables.film, tables.staff, chosen.select("customer_id").scalar(), titles, today
+    )
+    copies = {"__b": F.floor(F.col("inventory_id") / F.lit(chunk))}
+    rented = mutate.assign_keys(rented, tables.rental, "rental_id", ascending("inventory_id", "staff_id"), copies)
+    of_film = rented.join(tables.inventory.select("inventory_id", "film_id"), "inventory_id", "inner")
+    paid = rental_charges(of_film, tables.film).select(
+        "customer_id", "staff_id", "rental_id", "amount", F.lit(today).alias("payment_date")
+    )
+    numbers = {"__b": F.floor(F.col("rental_id") / F.lit(chunk))}
+    paid = mutate.assign_keys(paid, tables.payment, "payment_id", ascending("rental_id"), numbers)
+
+    def grown(table: DataFrame, rows: DataFrame) -> DataFrame:
+        known = [c for c in rows.columns if c in table.columns]
+        return table.unionByName(rows.select(*known), allowMissingColumns=True)
+
+    return {"customer": customer, "rental": grown(rentals, rented), "payment": grown(payments, paid)}

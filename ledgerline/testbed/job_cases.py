@@ -556,6 +556,91 @@ def m13(t: ParquetTables) -> DataFrame:
     )
 
 
+@case(
+    "m13_record_sales",
+    """
+    WITH fu AS (SELECT min(o_orderkey) AS id, o_orderpriority AS name FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 2),
+    inc AS (
+      SELECT o_orderkey AS seq, n_nationkey AS station_id, fu.id AS fuel_id, k.c_custkey AS customer_id,
+             CAST(o_orderdate + INTERVAL 324 MONTH AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS q, o_orderstatus
+      FROM orders JOIN customer c ON o_custkey = c.c_custkey JOIN nation ON c.c_nationkey = n_nationkey
+      LEFT JOIN fu ON fu.name = o_orderpriority
+      LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) k ON k.c_name = c.c_name),
+    judged AS (
+      SELECT *, CASE WHEN fuel_id IS NULL THEN '❌ Fuel type not found' WHEN customer_id IS NULL THEN '❌ Customer not found'
+                     WHEN NOT day > DATE '2024-01-01' THEN 'transaction_date > 2024-01-01'
+                     WHEN o_orderstatus = 'P' THEN 'payment_method not in list' END AS reason FROM inc),
+    stock AS (SELECT station_id, fuel_id, sum(q) AS q FROM inc
+              WHERE fuel_id IS NOT NULL AND o_orderstatus = 'F' GROUP BY 1, 2),
+    sold AS (SELECT station_id, fuel_id, sum(q) AS q FROM judged WHERE reason IS NULL GROUP BY 1, 2),
+    bad AS (SELECT stock.station_id, stock.fuel_id FROM stock JOIN sold ON stock.station_id = sold.station_id
+            AND stock.fuel_id = sold.fuel_id WHERE sold.q > stock.q),
+    final AS (
+      SELECT judged.*, CASE WHEN reason IS NOT NULL THEN reason
+                            WHEN bad.fuel_id IS NOT NULL THEN 'stock would fall below zero' END AS verdict
+      FROM judged LEFT JOIN bad ON bad.station_id = judged.station_id AND bad.fuel_id = judged.fuel_id)
+    SELECT CASE WHEN verdict IS NULL THEN (SELECT max(o_orderkey) FROM orders)
+             + row_number() OVER (PARTITION BY verdict IS NULL ORDER BY seq) ELSE seq END AS id,
+           coalesce(verdict, 'recorded') AS result,
+           CASE WHEN verdict IS NULL THEN CAST(round(q * 1.50, 2) AS DOUBLE) END AS total_amount
+    FROM final
+    """,
+)
+def m13_record(t: ParquetTables) -> DataFrame:
+    """Orders, moved to the twenties, through the whole write path: names, amounts, rules, balance, keys."""
+    named = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"), "inner").join(
+        t["nation"], F.col("c_nationkey") == F.col("n_nationkey"), "inner"
+    )
+    status = F.col("o_orderstatus")
+    incoming = named.select(
+        F.col("o_orderkey").alias("seq"),
+        F.col("n_name").alias("station_name"),
+        F.col("o_orderpriority").alias("fuel_name"),
+        F.col("c_name").alias("customer_full_name"),
+        F.add_months("o_orderdate", 324).alias("transaction_date"),
+        money(F.col("o_totalprice")).alias("quantity_sold"),
+        F.when(status == "F", "cash").when(status == "O", "card").otherwise("cheque").alias("payment_method"),
+    )
+    stations = t["nation"].select(F.col("n_nationkey").alias("station_id"), F.col("n_name").alias("name"))
+    fuels = (
+        t["orders"]
+        .filter(F.col("o_orderpriority") != "5-LOW")
+        .groupBy(F.col("o_orderpriority").alias("fuel_name"))
+        .agg(F.min("o_orderkey").alias("fuel_type_id"))
+        .withColumn("price_per_liter", F.lit("1.50").cast("decimal(10,2)"))
+    )
+    customers = t["customer"].filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name")
+    )
+    stock = (
+        named.filter(status == "F")
+        .join(fuels, F.col("o_orderpriority") == F.col("fuel_name"), "inner")
+        .groupBy(F.col("n_nationkey").alias("station_id"), "fuel_type_id")
+        .agg(F.sum(money(F.col("o_totalprice"))).alias("quantity_available"))
+    )
+    existing = t["orders"].select(
+        F.col("o_orderkey").alias("transaction_id"),
+        *[
+            F.lit(None).cast(kind).alias(name)
+            for name, kind in (
+                ("station_id", "int"),
+                ("fuel_type_id", "bigint"),
+                ("customer_id", "bigint"),
+                ("transaction_date", "date"),
+                ("quantity_sold", "decimal(18,2)"),
+                ("payment_method", "string"),
+                ("total_amount", "decimal(18,2)"),
+            )
+        ],
+    )
+    new, refused, _ = fuel.record_sales(incoming, stations, fuels, customers, existing, stock, reject="key")
+    return shown(
+        new.select(F.col("transaction_id").alias("id"), F.lit("recorded").alias("result"), "total_amount").unionByName(
+            refused.select(F.col("seq").alias("id"), F.col("reason").alias("result")), allowMissingColumns=True
+        )
+    )
+
+
 # -- incoming facts ------------------------------------------------------------
 
 

@@ -234,3 +234,59 @@ def test_duplicate_fuel_name_and_missing_first_name(spark, network, frame):
         ("fuel_type", "unique", "A"),
     ]
     assert rows(people, "full_name") == [(None,)]
+
+
+@pytest.fixture
+def incoming(frame):
+    def make(*sales):
+        return frame(
+            "seq int, station_name string, fuel_name string, customer_full_name string, transaction_date date, "
+            "quantity_sold decimal(10,2), payment_method string",
+            *[(i, *s) for i, s in enumerate(sales, 1)],
+        )
+
+    return make
+
+
+def test_record_sales(network, incoming):
+    day = dt.date(2025, 5, 1)
+    batch = incoming(
+        ("Station 1", "Fuel 1", "First1 Last1", day, D("30"), "card"),
+        ("nowhere", "Fuel 1", "First1 Last1", day, D("30"), "card"),
+        ("Station 1", "Fuel 1", "First1 Last1", dt.date(2023, 1, 1), D("30"), "card"),
+        ("Station 1", "Fuel 1", "First1 Last1", day, D("-1"), "card"),
+        ("Station 1", "Fuel 1", "First1 Last1", day, D("1"), "cheque"),
+        ("Station 6", "Fuel 6", "First2 Last2", day, D("4"), "cash"),
+    )
+    args = [network[n] for n in ("fuel_station", "fuel_type", "customer", "transaction", "inventory")]
+    new, refused, stock = fuel.record_sales(batch, *args)
+    assert [(r[0], r[1], str(r[2])) for r in row_set(new, "transaction_id", "station_id", "total_amount")] == [
+        (13, 1, "195.00"),
+        (14, 6, "18.00"),
+    ]
+    assert row_set(refused) == [
+        (2, fuel.STATION_NOT_FOUND),
+        (3, "transaction_date > 2024-01-01"),
+        (4, "quantity_sold > 0"),
+        (5, "payment_method not in list"),
+    ]
+    assert float(stock.filter("station_id = 1 and fuel_type_id = 1").first().quantity_available) == 4970.0
+    assert new.columns == network["transaction"].columns
+
+
+def test_record_sales_that_oversell(network, incoming):
+    day = dt.date(2025, 5, 1)
+    batch = incoming(
+        ("Station 5", "Fuel 6", "First1 Last1", day, D("1000"), "card"),
+        ("Station 5", "Fuel 6", "First2 Last2", day, D("501"), "card"),
+        ("Station 1", "Fuel 1", "First1 Last1", day, D("1"), "card"),
+    )
+    args = [network[n] for n in ("fuel_station", "fuel_type", "customer", "transaction", "inventory")]
+    new, refused, stock = fuel.record_sales(batch, *args)
+    assert new.count() == 0 and refused.count() == 3
+    assert row_set(stock, "inventory_id", "quantity_available") == row_set(
+        network["inventory"], "inventory_id", "quantity_available"
+    )
+    new, refused, stock = fuel.record_sales(batch, *args, reject="key")
+    assert row_set(new, "transaction_id", "station_id") == [(13, 1)]
+    assert row_set(refused, "seq") == [(1,), (2,)]

@@ -82,6 +82,19 @@ def test_delete_keeps_unknown(frame):
     assert row_set(mutate.delete_keys(table, frame("v int", (1,), (None,)), ["v"])) == [(3,), (None,)]
 
 
+def test_snapshots_keep_the_column_order(frame):
+    table = frame("a int, k int, b int", (1, 1, 1), (2, 2, 2))
+    keys = frame("k int", (1,))
+    for df in (
+        mutate.delete_keys(table, keys, ["k"]),
+        lookup.present(table, keys, ["k"]),
+        mutate.update_where_key(table, keys, "k", {"b": F.lit(9)}),
+        mutate.upsert(table, table, ["k"], ["b"]),
+        mutate.cascade_delete({"t": table}, [], "t", keys)["t"],
+    ):
+        assert df.columns == ["a", "k", "b"]
+
+
 def test_delete_a_third(spark):
     from ledgerline.functions.text import number_after_prefix
     from ledgerline.sources.tables import labelled_rows

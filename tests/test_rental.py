@@ -253,3 +253,29 @@ def test_new_film_defaults(frame):
     assert [tuple(map(str, r)) for r in inserted.collect()] == [
         ("1", "Only", "2024", "2", "3", "4.99", "19.99", "2024-03-01", "1")
     ]
+
+
+def test_take_over_customer(tables):
+    person = {"first_name": F.lit("Eve"), "last_name": F.lit("Dale")}
+    after = rental.take_over_customer(tables, person, ["Love Story"], dt.date(2017, 1, 20), 2, 2)
+    assert row_set(after["customer"], "customer_id", "first_name") == [(1, "Eve"), (2, "Bob")]
+    # Customer 1 loses rentals 1 and 3; both copies of the title are rented anew.
+    assert row_set(after["rental"], "rental_id", "inventory_id", "customer_id", "staff_id") == [
+        (2, 1, 2, 1),
+        (4, 3, 2, 2),
+        (5, 1, 1, 1),
+        (6, 4, 1, 2),
+    ]
+    paid = after["payment"].filter("payment_date = '2017-01-20'")
+    # Seven days on a three-day film: the rate and four days more.
+    assert [(r[0], r[1], str(r[2])) for r in row_set(paid, "payment_id", "rental_id", "amount")] == [
+        (6, 5, "8.99"),
+        (7, 6, "8.99"),
+    ]
+    assert row_set(after["payment"].filter("payment_id < 6"), "payment_id") == [(2,), (4,), (5,)]
+
+
+def test_take_over_without_a_heavy_customer_changes_nothing(tables):
+    after = rental.take_over_customer(tables, {"first_name": F.lit("Eve")}, ["Love Story"])
+    for name in ("customer", "rental", "payment"):
+        assert row_set(after[name]) == row_set(getattr(tables, name))
