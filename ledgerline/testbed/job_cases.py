@@ -57,7 +57,7 @@ def m01(t: ParquetTables) -> DataFrame:
               FROM supplier JOIN nation ON s_nationkey = n_nationkey),
     fresh AS (SELECT s_name, n_nationkey AS s_nationkey FROM batch JOIN nation ON n_name = nation_name
               WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.s_name = batch.s_name AND t.s_nationkey = n_nationkey))
-    SELECT (SELECT max(s_suppkey) FROM target) + row_number() OVER (ORDER BY s_name) AS s_suppkey, s_name, s_nationkey
+    SELECT (SELECT coalesce(max(s_suppkey), 0) FROM target) + row_number() OVER (ORDER BY s_name) AS s_suppkey, s_name, s_nationkey
     FROM fresh
     """,
 )
@@ -407,7 +407,7 @@ def m17(t: ParquetTables) -> DataFrame:
                               WHEN language_id IS NULL THEN 'unknown language' ELSE 'inserted' END AS status
       FROM judged)
     SELECT seq, title, status,
-           CASE WHEN status = 'inserted' THEN (SELECT max(film_id) FROM film)
+           CASE WHEN status = 'inserted' THEN (SELECT coalesce(max(film_id), 0) FROM film)
              + row_number() OVER (PARTITION BY status ORDER BY seq) END AS film_id
     FROM decided
     """,
