@@ -71,20 +71,20 @@ def _same(columns: Sequence[str], prefix: str) -> Column:
 def range_buckets(
     df: DataFrame, order_by: Sequence[Column], unique_order: bool = False, name: str = "__range"
 ) -> DataFrame:
-    """Cut ``df`` into ranges of ``order_by`` of about equal size, four per shuffle partition.
-
-    Ranges are later spread over tasks by hash; several per task even that out. They
-    are sampled, so they are written to the checkpoint folder: a range number that
-    later stages compute anew could differ. Unless the order tells every row from
-    every other, the rows are written with a last key ``__tie`` before, so that even
-    a run of equal rows can be cut and a retried task cuts it in the same place.
+    """Cut ``df`` into ranges of ``order_by`` of about equal size.
+
+    There are at most as many as shuffle partitions; AQE joins neighbours where the
+    data is small. The ranges are sampled, so they are written to the checkpoint
+    folder: a range number that later stages compute anew could differ. Unless the
+    order tells every row from every other, the rows are written with a last key
+    ``__tie`` before, so that even a run of equal rows can be cut and a retried task
+    cuts it in the same place.
     """
-    ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if unique_order:
         stored = df.withColumn("__tie", F.lit(0).cast("bigint"))
     else:
         stored = cut_lineage(df.withColumn("__tie", F.monotonically_increasing_id()))
-    cut = stored.repartitionByRange(ranges, *order_by, F.col("__tie").asc())
+    cut = stored.repartitionByRange(*order_by, F.col("__tie").asc())
     return cut_lineage(cut.withColumn(name, F.spark_partition_id()))
 
 

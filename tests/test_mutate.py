@@ -41,10 +41,10 @@ def test_child_needs_its_parent(frame):
 
 
 def test_bridge_from_name_pairs(frame):
-    people = frame("actor_id int, first_name string, last_name string", (1, "A", "Dinica"), (2, "B", "Q"), (3, "B", "Q"))
+    people = frame("actor_id int, first_name string, last_name string", (1, "A", "Anca"), (2, "B", "Q"), (3, "B", "Q"))
     films = frame("film_id int, title string", (10, "F"), (11, "G"))
     pairs = frame(
-        "first string, last string, film string", ("A", "Dinică", "F"), ("B", "Q", "F"), ("B", "Q", "F"), ("B", "Q", "none")
+        "first string, last string, film string", ("A", "Ancă", "F"), ("B", "Q", "F"), ("B", "Q", "F"), ("B", "Q", "none")
     )
     existing = frame("actor_id int, film_id int", (3, 10))
     got = mutate.bridge_rows(

@@ -23,6 +23,14 @@ SLOW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthChec
 BOUND = st.one_of(st.none(), st.integers(-3, 3))
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small data would be joined into one range."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def day_frame(frame, values, start=dt.date(2024, 1, 1)):
     """Days from a Monday on, one value each."""
     data = [
@@ -68,7 +76,7 @@ def test_groups_frame_against_brute_force(spark, data, bounds):
     assert sorted(rows(large, "k", "v", "t"), key=str) == brute_groups(data, *bounds)
 
 
-def test_large_groups_frame_per_partition_and_with_null_values(spark):
+def test_large_groups_frame_per_partition_and_with_null_values(spark, many_ranges):
     data = [("a", 1, 1), ("a", 1, None), ("a", 2, None), ("a", 5, 4), ("b", 2, 7), (None, 3, 8), ("a", None, 9)]
     df = spark.createDataFrame(data, "p string, k int, v int")
     for bounds in ((None, 0), (-1, 1), (1, 2), (-3, -1), (0, 0), (None, None), (2, None)):
@@ -91,7 +99,13 @@ def test_running_total_against_brute_force(spark, data):
     assert sorted(rows(got)) == want
 
 
-def test_running_total_over_sampled_ranges_with_a_hot_key(spark):
+def test_sampled_ranges_cut_a_hot_key(spark, many_ranges):
+    df = spark.range(900).select(F.when(F.col("id") < 600, 7).otherwise(F.col("id")).alias("k"))
+    sizes = windows.range_buckets(df, ascending("k")).groupBy("__range").count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 450
+
+
+def test_running_total_over_sampled_ranges_with_a_hot_key(spark, many_ranges):
     """Two thirds of the rows share one key; the tie-break cuts them, and nothing is lost."""
     df = spark.range(900).select(F.when(F.col("id") < 600, 7).otherwise(F.col("id")).alias("k"), F.lit(1).alias("v"))
     got = windows.running_total(df, F.col("v"), ascending("k"), None, "n", value_type="bigint")
