@@ -12,8 +12,10 @@ sys.path.insert(0, ROOT)
 import __spark_entry__ as entry  # noqa: E402
 import compare  # noqa: E402
 
+from ledgerline.testbed import load_cases  # noqa: E402
+
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = load_cases()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 
