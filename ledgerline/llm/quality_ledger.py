@@ -24,7 +24,7 @@ from ledgerline.llm.texts import IS_SEPARATOR, RangeHashes, WordRuns, mixed, sli
 #: Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_echo_words")
 
 _IS_SYMBOL = np.zeros(256, dtype=bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
@@ -44,9 +44,10 @@ RULES = (
     Rule("few_words", 0, "n_words < 10"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", 2, "10 * n_symbols > n_words"),
-    Rule("repeated_lines", 3, "n_lines > 0 AND 10 * n_dup_lines > 3 * n_lines"),
+    Rule("repeated_lines", 3, "n_lines > 0 AND 2 * n_dup_lines > n_lines"),
     Rule("short_words", 4, "n_words > 0 AND word_chars < 2 * n_words"),
     Rule("long_words", 5, "n_words > 0 AND word_chars > 20 * n_words"),
+    Rule("echoed_words", 6, "10 * n_echo_words > 3 * n_words"),
 )
 
 
@@ -67,12 +68,17 @@ BASE = Policy("base-1", ("few_words", "repeated_windows"))
 STANDARD = Policy("standard-1", tuple(r.name for r in RULES))
 
 
-def _repeated_words(runs: WordRuns, n_texts: int) -> np.ndarray:
+def _echoed_words(runs: WordRuns, words: np.ndarray, n_texts: int) -> np.ndarray:
+    """Per text, how many words equal the word just before them."""
+    same = (words[1:] == words[:-1]) & (runs.doc[1:] == runs.doc[:-1])
+    return np.bincount(runs.doc[1:][same], minlength=n_texts)
+
+
+def _repeated_words(runs: WordRuns, words: np.ndarray, n_texts: int) -> np.ndarray:
     """Per text, how many words lie in windows of five words found more than once in that text."""
     n = len(runs.starts) - WINDOW + 1
     if n < 2:
         return np.zeros(n_texts, dtype=np.int64)
-    words = RangeHashes(runs.data).of(runs.starts, runs.ends)
     keys = np.zeros(n, dtype=np.uint64)
     for i in range(WINDOW):
         keys = mixed(keys + words[i : i + n])
@@ -94,6 +100,7 @@ def _repeated_words(runs: WordRuns, n_texts: int) -> np.ndarray:
 
 def _measure(texts: list[bytes]) -> dict[str, np.ndarray]:
     runs = WordRuns(texts)
+    words = RangeHashes(runs.data).of(runs.starts, runs.ends)
     code_points = ((runs.data & 0xC0) != 0x80) & ~IS_SEPARATOR[runs.data]
     lines, again = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
@@ -104,8 +111,9 @@ def _measure(texts: list[bytes]) -> dict[str, np.ndarray]:
         "word_chars": runs.per_text(code_points),
         "n_symbols": runs.per_text(_IS_SYMBOL[runs.data]),
         "n_dup_lines": again,
-        "n_repeat_words": _repeated_words(runs, len(texts)),
+        "n_repeat_words": _repeated_words(runs, words, len(texts)),
         "n_lines": lines,
+        "n_echo_words": _echoed_words(runs, words, len(texts)),
     }
 
 

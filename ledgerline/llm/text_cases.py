@@ -39,6 +39,10 @@ covered AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM repeated) GROUP BY doc_id
 ),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts),
+echoes AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT doc_id, w, unnest(range(2, len(w) + 1)) AS i FROM words)
+  WHERE w[i] = w[i - 1] GROUP BY doc_id
+),
 filled AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM lines
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
@@ -46,13 +50,15 @@ filled AS (
 m AS (
   SELECT w.doc_id, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
     len(regexp_extract_all(w.text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(f.n_dup, 0)::BIGINT AS n_dup_lines,
-    coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(f.n_lines, 0)::BIGINT AS n_lines
-  FROM words w LEFT JOIN covered c ON c.doc_id = w.doc_id LEFT JOIN filled f ON f.doc_id = w.doc_id
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(f.n_lines, 0)::BIGINT AS n_lines,
+    coalesce(e.n, 0)::BIGINT AS n_echo
+  FROM words w LEFT JOIN echoes e ON e.doc_id = w.doc_id LEFT JOIN covered c ON c.doc_id = w.doc_id LEFT JOIN filled f ON f.doc_id = w.doc_id
 ),
 b AS (
   SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
-    + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (n_lines > 0 AND 10 * n_dup_lines > 3 * n_lines)::BIGINT
-    + 16 * (n_words > 0 AND word_chars < 2 * n_words)::BIGINT + 32 * (n_words > 0 AND word_chars > 20 * n_words)::BIGINT AS failed
+    + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (n_lines > 0 AND 2 * n_dup_lines > n_lines)::BIGINT
+    + 16 * (n_words > 0 AND word_chars < 2 * n_words)::BIGINT + 32 * (n_words > 0 AND word_chars > 20 * n_words)::BIGINT
+    + 64 * (10 * n_echo > 3 * n_words)::BIGINT AS failed
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed
