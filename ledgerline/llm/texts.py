@@ -40,11 +40,20 @@ def slices(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: np.uint64) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)`` modulo 2**64."""
-    out = np.full(n, base, dtype=np.uint64)
+    """``base ** 0 .. base ** (n - 1)`` modulo 2**64; the longest so far is kept up to four million."""
+    known = _POWERS.get(int(base))
+    if known is not None and len(known) >= n:
+        return known[:n]
+    out = np.full(max(n, 1 << 21), base, dtype=np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out, dtype=np.uint64)
+    out = np.multiply.accumulate(out, dtype=np.uint64)
+    if len(out) <= 1 << 22:
+        _POWERS[int(base)] = out
+    return out[:n]
 
 
 class RangeHashes:
@@ -52,7 +61,7 @@ class RangeHashes:
 
     def __init__(self, data: np.ndarray):
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(BYTE_CODES[data] * powers(max(1, len(data)), BASE)[: len(data)], dtype=np.uint64, out=self.sums[1:])
+        np.cumsum(BYTE_CODES[data] * powers(len(data), BASE), dtype=np.uint64, out=self.sums[1:])
         self.undo = powers(len(data) + 1, BASE_INVERSE)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -73,14 +82,14 @@ class WordRuns:
     text a word is in and ``firsts`` where each text begins.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], separators: np.ndarray = IS_SEPARATOR):
         self.joined = b"\n".join(texts)
         self.data = np.frombuffer(self.joined, dtype=np.uint8)
         lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
         self.lengths = lengths
         self.firsts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1])) if len(texts) else np.zeros(0, np.int64)
         inside = np.zeros(len(self.data) + 2, dtype=np.int8)
-        np.logical_not(IS_SEPARATOR[self.data], out=inside[1:-1].view(bool))
+        np.logical_not(separators[self.data], out=inside[1:-1].view(bool))
         steps = np.diff(inside)
         self.starts = np.flatnonzero(steps == 1)
         self.ends = np.flatnonzero(steps == -1)
