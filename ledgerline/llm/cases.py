@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with ``QUERIES`` (name to function of a session and a folder of tables) and ``ORACLE`` (name to SQL).
-MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases")
+MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases", "license_cases")
 
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
