@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with ``QUERIES`` (name to function of a session and a folder of tables) and ``ORACLE`` (name to SQL).
-MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases", "license_cases")
+MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases", "license_cases", "suffix_cases")
 
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
@@ -18,4 +18,8 @@ def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[st
         module = importlib.import_module(f"ledgerline.llm.{name}")
         queries.update(module.QUERIES)
         oracle.update(module.ORACLE)
+    pipeline = importlib.import_module("corpus_pipeline")
+    queries["pipeline"] = pipeline.run
+    if pipeline.ORACLE_SQL:
+        oracle["pipeline"] = pipeline.ORACLE_SQL
     return queries, oracle
