@@ -125,14 +125,14 @@ def _measured(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Recor
             pa.array(np.concatenate([p[m] for p in parts]) if parts else np.zeros(0, np.int64), pa.int64())
             for m in MEASURES
         ]
-        kept = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in MEASURES]
-        names = [name for name in batch.schema.names if name not in MEASURES]
+        kept = [batch.column(i) for i, name in enumerate(batch.schema.names) if name.lower() not in MEASURES]
+        names = [name for name in batch.schema.names if name.lower() not in MEASURES]
         yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*names, *MEASURES])
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns of ``docs`` with the measurements beside them; one pass, no shuffle."""
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in MEASURES]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name.lower() not in MEASURES]
     schema = ", ".join([*kept, *[f"{m} bigint" for m in MEASURES]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -481,15 +481,14 @@ def with_revisits(pages: DataFrame, key: str, payload: str, least_bytes: int = 1
     rows = pages.withColumn("payload", content).withColumns(
         {"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("bigint")}
     )
-    marks = rows.filter(F.col("payload_bytes") >= least_bytes).select(F.col(key).alias("k"), F.col("payload_digest").alias("d"))
-    newest = marks.groupBy("d").agg(F.max("k").alias("newest"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    later = marks.join(newest.select(F.col("d").alias("d2"), "newest"), F.col("d") == F.col("d2"))
-    later = later.filter(~F.col("k").eqNullSafe(F.col("newest"))).select("k", "d", "newest").distinct()
-    same = F.col(key).eqNullSafe(F.col("k")) & (F.col("payload_digest") == F.col("d"))
+    marks = rows.filter(F.col("payload_bytes") >= least_bytes).select(F.col(key).alias("__k"), F.col("payload_digest").alias("__d"))
+    newest = marks.groupBy("__d").agg(F.max("__k").alias("__newest"), F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    later = marks.join(newest.select(F.col("__d").alias("__d2"), "__newest"), F.col("__d") == F.col("__d2"))
+    later = later.filter(~F.col("__k").eqNullSafe(F.col("__newest"))).select("__k", "__d", "__newest").distinct()
+    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("payload_digest") == F.col("__d"))
     found = rows.join(later, same, "left")
-    return found.withColumn("record_type", F.when(F.col("d").isNull(), "response").otherwise("revisit")).withColumn(
-        "refers_to_key", F.col("newest")
-    ).drop("k", "d", "newest")
+    kind = F.when(F.col("__d").isNull(), "response").otherwise("revisit")
+    return found.withColumns({"record_type": kind, "refers_to_key": F.col("__newest")}).drop("__k", "__d", "__newest")
 
 
 def page_records(pages: DataFrame, date: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
