@@ -47,7 +47,7 @@ def words_of(text: str) -> Column:
 def units(files: DataFrame, text: str) -> DataFrame:
     """``row, unit, words``: every line and, as unit -1, the whole text where it has several lines."""
     lines = F.split(F.col(text), "\n")
-    split = files.select("row", F.posexplode(F.when(F.size(lines) > 1, F.array_append(lines, F.col(text))).otherwise(lines)).alias("unit", "line"))
+    split = files.select("row", text).select("row", F.posexplode(F.when(F.size(lines) > 1, F.array_append(lines, F.col(text))).otherwise(lines)).alias("unit", "line"))
     return split.select("row", "unit", words_of("line").alias("words")).filter(F.size("words") > 0)
 
 
@@ -89,7 +89,8 @@ def own_licenses(files: DataFrame, templates: DataFrame, text: str = "text", lea
     near = every.filter(F.arrays_overlap("words", F.array(*[F.lit(w) for w in rare])))
     near = stored(near.dropDuplicates(["row", "unit"]), "license-units")
     other_idf = F.log(F.lit(1.0 + n_units)) + 1
-    tf = near.select("row", "unit", F.size("words").alias("n"), F.explode("words").alias("word"))
+    sized = near.select("row", "unit", "words", F.size("words").alias("n"))
+    tf = sized.select("row", "unit", "n", F.explode("words").alias("word"))
     tf = tf.join(weights.select("word", "idf"), "word").groupBy("row", "unit", "n", "word", "idf").agg(F.count(F.lit(1)).alias("c"))
     tf = stored(tf, "license-tf")
     known = F.sum(F.col("c") * F.col("c") * F.col("idf") * F.col("idf"))
