@@ -23,15 +23,25 @@ def in_years(column: Column, first: int, last: int) -> Column:
 
 
 def in_iso_weeks(column: Column, year: int, first_week: int, last_week: int) -> Column:
-    """Calendar year ``year`` and ISO week between the two, as a range plus the exact test.
+    """Calendar year ``year`` and ISO week between the two, as half-open ranges.
 
-    The range is what the scan can use. The exact test matters where an ISO week
-    runs over the turn of the year.
+    The first days of a year may belong to week 52 or 53 and the last ones to week 1, so
+    the days that fit make up to three runs; a year without them fits no day.
     """
-    start = dt.date.fromisocalendar(year, first_week, 1)
-    end = dt.date.fromisocalendar(year, last_week, 7) + dt.timedelta(days=1)
-    start, end = max(start, dt.date(year, 1, 1)), min(end, dt.date(year + 1, 1, 1))
-    return in_range(column, start, end) & F.weekofyear(column).between(first_week, last_week)
+    one = dt.timedelta(days=1)
+    runs: list[list[dt.date]] = []
+    day = dt.date(year, 1, 1)
+    while day.year == year:
+        if first_week <= day.isocalendar().week <= last_week:
+            if runs and runs[-1][1] == day:
+                runs[-1][1] = day + one
+            else:
+                runs.append([day, day + one])
+        day += one
+    fits = F.lit(False)
+    for start, end in runs:
+        fits = fits | in_range(column, start, end) if start != runs[0][0] else in_range(column, start, end)
+    return fits
 
 
 def quarter_bounds(as_of: dt.date) -> tuple[dt.date, dt.date]:

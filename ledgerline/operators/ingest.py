@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numbers import MONEY
-from ledgerline.operators.lookup import resolve_key
+from ledgerline.operators.lookup import resolve_key, thin
 
 QUANTITY = "decimal(18,2)"
 
@@ -22,9 +22,14 @@ def price_facts(
 ) -> DataFrame:
     """``amount = quantity * price`` for every row, whatever amount the row brought along.
 
-    An unknown key leaves the amount NULL. ``prices`` has one row per ``key``.
+    An unknown key leaves the amount NULL. A key with two prices is an error.
     """
-    looked_up = facts.drop(amount).join(prices.select(key, price), key, "left")
+    known = thin(
+        prices.filter(F.col(key).isNotNull()), [key], F.max(price).alias(price), F.count(F.lit(1)).alias("__n")
+    )
+    twice = F.raise_error(F.lit(f"a {key} has two prices")).cast("boolean")
+    single = known.filter(F.when(F.col("__n") > 1, twice).otherwise(F.lit(True))).drop("__n")
+    looked_up = facts.drop(amount).join(single, key, "left")
     exact = F.col(quantity).cast(QUANTITY) * F.col(price).cast(MONEY)
     columns = facts.columns if amount in facts.columns else [*facts.columns, amount]
     return looked_up.withColumn(amount, F.round(exact, 2).cast(MONEY)).select(*columns)
@@ -46,7 +51,7 @@ def fold_stock(
 ) -> DataFrame:
     """Stock after the facts. Several stock rows of one key all go down; a fact without a stock row changes nothing."""
     sold = sold_per_key(facts, key, quantity)
-    folded = stock.join(sold, list(key), "left")
+    folded = stock.join(thin(sold, key, F.min("sold").alias("sold")), list(key), "left")
     left = F.col(available).cast("decimal(28,2)") - F.coalesce(F.col("sold"), F.lit(0))
     return folded.withColumn(available, left.cast("decimal(28,2)")).drop("sold").select(*stock.columns)
 
@@ -69,7 +74,7 @@ def accept_batch(
     ``reject="batch"``: one overdrawn balance refuses everything, as a multi-row
     insert would. ``reject="key"``: only the facts of the overdrawn keys.
     """
-    bad = overdrawn(fold_stock(stock, facts, key, available, quantity), available).select(*key).distinct()
+    bad = thin(overdrawn(fold_stock(stock, facts, key, available, quantity), available).select(*key), key)
     if reject == "batch":
         n_bad = bad.agg(F.count(F.lit(1)).alias("n")).scalar()
         return facts.withColumn("accepted", n_bad == 0)

@@ -15,7 +15,24 @@ def latest_value(value: str, when: str, tie_break: str) -> Column:
 
 def surrogate_keys(dimension: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
     """Natural key to one surrogate key; the smallest if a natural key repeats."""
-    return dimension.groupBy(*natural).agg(F.min(key).alias(key))
+    return thin(dimension, natural, F.min(key).alias(key))
+
+
+def thin(df: DataFrame, on: Sequence[str], *figures: Column) -> DataFrame:
+    """One row per key, with aggregates, in a form whose join can split a hot key on the other side.
+
+    AQE splits a join side only when both sides are plain shuffles. After ``distinct`` or ``groupBy`` on
+    the join key the join would take over their shuffle, aggregate and all. Grouping by the key as one
+    struct gives the same rows in a layout that the join cannot take over: it shuffles the keys, by then one
+    row each, once more.
+    """
+    grouped = df.groupBy(F.struct(*on).alias("__key"))
+    counted = grouped.agg(*figures) if figures else grouped.agg(F.lit(1).alias("__one"))
+    return counted.select(*[F.col(f"__key.{k}").alias(k) for k in on], *_names(figures, df))
+
+
+def _names(figures: Sequence[Column], df: DataFrame) -> list[str]:
+    return df.limit(0).agg(*figures).columns if figures else []
 
 
 def resolve_key(
@@ -39,11 +56,10 @@ def resolve_key(
 def _keys(other: DataFrame, on: Sequence[str], unique: bool) -> DataFrame:
     """The join keys of the right side, each once.
 
-    In a semi or anti join AQE can split a hot key only on the left. On the right it
-    is made one row per task before the shuffle, which the join then reuses.
+    In a semi or anti join AQE can split a hot key only on the left, so on the right it is made one row.
     """
     keys = other.select(*on)
-    return keys if unique else keys.distinct()
+    return keys if unique else thin(keys, on)
 
 
 def present(df: DataFrame, other: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
@@ -78,7 +94,7 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     figures = listed.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("__listed").isNull(), 1)).alias("nulls")).alias("f")
     ).scalar()
-    kept = df.join(listed.distinct(), F.col(column) == F.col("__listed"), "left_anti")
+    kept = df.join(thin(listed, ["__listed"]), F.col(column) == F.col("__listed"), "left_anti")
     return kept.filter((figures["n"] == 0) | ((figures["nulls"] == 0) & F.col(column).isNotNull()))
 
 

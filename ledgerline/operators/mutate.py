@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.lookup import absent, only_value, resolve_key
+from ledgerline.operators.lookup import absent, only_value, resolve_key, thin
 from ledgerline.operators.ordering import first_per_key
 from ledgerline.operators.windows import number_rows
 from ledgerline.session import cut_lineage
@@ -47,9 +47,16 @@ def assign_unordered_keys(
 def insert_absent(
     table: DataFrame, batch: DataFrame, natural: Sequence[str], order: Sequence[Column] | None = None
 ) -> DataFrame:
-    """The rows to append: first of each natural key in the batch, unless the table has the key."""
+    """The rows to append: first of each natural key in the batch, unless the table has the key.
+
+    A key with a NULL equals no other, so every such row is new, as a unique constraint has it.
+    """
     chosen = order or [F.col(c).asc_nulls_last() for c in batch.columns]
-    return absent(first_per_key(batch, natural, chosen), table, natural, unique=True)
+    whole = F.lit(True)
+    for c in natural:
+        whole = whole & F.col(c).isNotNull()
+    first = first_per_key(batch.filter(whole), natural, chosen)
+    return absent(first, table, natural).unionByName(batch.filter(~whole))
 
 
 def insert_absent_child(
@@ -126,9 +133,10 @@ def upsert(
     """New snapshot after ``INSERT .. ON CONFLICT (key) DO UPDATE SET update = EXCLUDED.update``.
 
     A matched row takes the new value even where that is NULL; columns outside
-    ``update`` keep the old one. With ``order`` the first change per key counts.
+    ``update`` keep the old one. With ``order`` the first change per key counts; without it a key that
+    changes twice is an error, as the statement would refuse to touch a row a second time.
     """
-    unique = first_per_key(changes, key, order) if order else changes
+    unique = first_per_key(changes, key, order) if order else _once(changes, key, "a key is changed twice; name an order")
     new = unique.select(*key, F.struct(*[c for c in changes.columns if c not in key]).alias("__new"))
     old = table.select(*key, F.struct(*[c for c in table.columns if c not in key]).alias("__old"))
     joined = old.join(new, list(key), "full")
@@ -143,9 +151,23 @@ def upsert(
     return joined.select(*columns).select(*table.columns)
 
 
+def _once(rows: DataFrame, key: Sequence[str], text: str) -> DataFrame:
+    """``rows``, with an error as soon as a key without NULLs repeats."""
+    whole = F.lit(True)
+    for c in key:
+        whole = whole & F.col(c).isNotNull()
+    others = [c for c in rows.columns if c not in key]
+    grouped = rows.filter(whole).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*others) if others else F.lit(1)).alias("__row")
+    )
+    one = F.when(F.col("__n") > 1, F.raise_error(F.lit(text)).cast("boolean")).otherwise(F.lit(True))
+    single = grouped.filter(one).select(*key, *[F.col(f"__row.{c}").alias(c) for c in others])
+    return single.select(*rows.columns).unionByName(rows.filter(~whole))
+
+
 def update_where_key(table: DataFrame, keys: DataFrame, key: str, assignments: Mapping[str, Column]) -> DataFrame:
     """New snapshot with ``assignments`` applied to rows whose key is in ``keys``."""
-    flagged = table.join(keys.select(key).distinct().withColumn("__hit", F.lit(True)), key, "left")
+    flagged = table.join(thin(keys.select(key), [key]).withColumn("__hit", F.lit(True)), key, "left")
     changed = flagged.withColumns(
         {c: F.when(F.col("__hit"), new).otherwise(F.col(c)) for c, new in assignments.items()}
     )
@@ -234,9 +256,23 @@ def cascade_delete(
     return result
 
 
+def cascade_truncate(
+    tables: Mapping[str, DataFrame], references: Sequence[Reference], start: Sequence[str]
+) -> dict[str, DataFrame]:
+    """``TRUNCATE .. CASCADE``: the start tables and every table below them become empty, the rest stay.
+
+    Unlike a cascading delete this asks for no row: a table that refers to an emptied one is emptied.
+    """
+    emptied = set(start)
+    for name in parent_first(references):
+        if any(r.child == name and r.parent in emptied for r in references):
+            emptied.add(name)
+    return {name: truncated(table) if name in emptied else table for name, table in tables.items()}
+
+
 def _as_child(keys: DataFrame, reference: Reference) -> DataFrame:
     pairs = zip(reference.parent_columns, reference.columns)
-    return keys.select(*[F.col(p).alias(c) for p, c in pairs]).distinct()
+    return thin(keys.select(*[F.col(p).alias(c) for p, c in pairs]), reference.columns)
 
 
 def add_column(table: DataFrame, name: str, default: Column) -> DataFrame:

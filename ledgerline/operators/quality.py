@@ -157,4 +157,4 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in tables.items()
     ]
-    return reduce(lambda a, b: a.union(b), counts).distinct()
+    return reduce(lambda a, b: a.union(b), counts)

@@ -20,6 +20,7 @@ from ledgerline.operators.ingest import (
     resolve_all,
     split_rejects,
 )
+from ledgerline.operators.lookup import thin
 from ledgerline.operators.mutate import assign_keys
 from ledgerline.operators.ordering import ascending, top_k
 
@@ -78,7 +79,7 @@ def patch_rows(
     column outside the list, on a NULL value, and on a key the table does not have,
     in this order. Of several good patches to one cell the last counts.
     """
-    known = table.select(key).distinct().withColumn("__known", F.lit(True))
+    known = thin(table.select(key), [key]).withColumn("__known", F.lit(True))
     allowed = F.array(*[F.lit(c) for c in columns])
     judged = patches.join(known, key, "left").withColumn(
         "status",

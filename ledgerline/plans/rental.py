@@ -18,7 +18,7 @@ from ledgerline.functions import calendar as cal
 from ledgerline.functions.numbers import MONEY, total
 from ledgerline.functions.text import AUDIENCE_BY_RATING, in_texts, join_skipping_nulls, label_for, same_text
 from ledgerline.operators import mutate, windows
-from ledgerline.operators.lookup import left_join_many, not_in, present
+from ledgerline.operators.lookup import left_join_many, not_in, present, thin
 from ledgerline.operators.ordering import ascending, top_k, top_rank_per_group
 from ledgerline.operators.pivot import conditional_counts
 
@@ -401,7 +401,7 @@ def new_films(
         batch, {"release_year": F.year(F.lit(today)), "language": F.lit(NEW_FILM_LANGUAGE)}
     )
     blank = F.col("title").isNull() | (F.trim("title") == "")
-    taken = film.select(F.upper("title").alias("__u")).distinct().withColumn("__taken", F.lit(True))
+    taken = thin(film.select(F.upper("title").alias("__u")), ["__u"]).withColumn("__taken", F.lit(True))
     known = language.groupBy(F.upper("name").alias("__l")).agg(F.min("language_id").alias("language_id"))
     checked = (
         rows.withColumns({"__u": F.upper("title"), "__l": F.upper("language")})

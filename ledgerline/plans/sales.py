@@ -116,13 +116,14 @@ def channel_share(
     )
 
 
-def daily_sales(lines: DataFrame, condition: Column | None = None) -> DataFrame:
-    """One row per day: ``time_id, calendar_week_number, day_name, sales``."""
+def daily_sales(lines: DataFrame, condition: Column | None = None, marks: Sequence[str] = ()) -> DataFrame:
+    """One row per day: ``time_id, calendar_week_number, day_name, sales``, and ``marks``, which the day decides."""
     kept = lines if condition is None else lines.filter(condition)
     return kept.groupBy(
         _day(lines),
         _attribute(lines, "calendar_week_number").alias("calendar_week_number"),
         _attribute(lines, "day_name").alias("day_name"),
+        *marks,
     ).agg(total(F.col("amount_sold")).alias("sales"))
 
 
@@ -144,13 +145,9 @@ def weekly_sales_report(
     columns = ["calendar_week_number", "time_id", "day_name", "sales"]
     average = windows.weekday_centered_average("sales", "time_id", "day_name")
     if neighbours_outside:
-        start = dt.date.fromisocalendar(year, first_week, 1)
-        end = dt.date.fromisocalendar(year, last_week, 7)
-        reach = dt.timedelta(days=3)
-        around = cal.in_range(F.col("time_id"), start - reach, end + reach + dt.timedelta(days=1))
-        averaged = daily_sales(lines, around).withColumn("centered_3_day_avg", average)
-        week = F.col("calendar_week_number").between(first_week, last_week)
-        days = averaged.filter(week & cal.in_range(F.col("time_id"), start, end + dt.timedelta(days=1)))
+        # The nearest day with sales may be any time ago, so all days are averaged, one row each, before the cut.
+        marked = daily_sales(lines.withColumn("__fits", weeks), marks=["__fits"])
+        days = marked.withColumn("centered_3_day_avg", average).filter("__fits")
     else:
         days = daily_sales(lines, weeks).withColumn("centered_3_day_avg", average)
     by = ["calendar_week_number"] if reset_each_week else []

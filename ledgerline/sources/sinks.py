@@ -1,11 +1,14 @@
 """Where results go: create, append, replace partitions, empty, drop.
 
 A job that rewrites a table reads the old snapshot while it writes, so
-``publish_snapshot`` writes a new folder and names it last.
+``publish_snapshot`` writes a folder that nothing else has, and then a marker that
+names it. Readers follow the last marker; what a failed write left is never read.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,12 +72,51 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def snapshot_path(root: str, version: int) -> str:
-    return f"{root}/version={version:08d}"
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, whichever it is, and the path for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    fs, target = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it."""
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
+def _markers(root: str) -> str:
+    return f"{root}/_published"
+
+
+def snapshot_path(spark: SparkSession, root: str) -> str | None:
+    """Folder of the snapshot that was published last, of the highest version."""
+    names = folder_names(spark, _markers(root))
+    return f"{root}/{names[-1]}" if names else None
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The table as last published."""
+    path = snapshot_path(spark, root)
+    if path is None:
+        raise FileNotFoundError(f"no snapshot was published below {root}")
+    return spark.read.parquet(path)
 
 
 def publish_snapshot(df: DataFrame, root: str, version: int) -> DataFrame:
-    """Write one version of a table; a job that is run again replaces the same version."""
-    path = snapshot_path(root, version)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write one version of a table beside all earlier ones and make it the current one.
+
+    Nothing that exists is overwritten, so ``df`` may read any earlier snapshot, that of the same version
+    too. A job that is run again publishes the version anew; its last result counts.
+    """
+    spark = df.sparkSession
+    name = f"version={version:012d}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(f"{root}/{name}")
+    fs, marker = _hadoop(spark, f"{_markers(root)}/{name}")
+    fs.create(marker, False).close()
+    return spark.read.schema(df.schema).parquet(f"{root}/{name}")

@@ -91,12 +91,20 @@ def test_calendar_attributes(frame):
 
 
 def test_iso_weeks_at_the_turn_of_the_year(frame):
-    days = [dt.date(1999, 1, 1) + dt.timedelta(days=i) for i in range(365)]
+    """Equal to the plain predicate on calendar year and week, whatever the year."""
+    days = [dt.date(1994, 12, 20) + dt.timedelta(days=i) for i in range(13_200)]
     df = frame("d date", *[(d,) for d in days])
-    for first, last in ((1, 1), (49, 52), (52, 52)):
-        want = sorted(d for d in days if first <= d.isocalendar().week <= last)
-        got = sorted(r[0] for r in rows(df.filter(calendar.in_iso_weeks(F.col("d"), 1999, first, last))))
-        assert got == [d for d in want if d.isocalendar().year == 1999]
+    weeks = ((1, 1), (49, 52), (50, 53), (52, 52), (53, 53), (1, 53))
+    differs = [
+        calendar.in_iso_weeks(F.col("d"), year, a, b)
+        != ((F.year("d") == year) & F.weekofyear("d").between(a, b))
+        for year in range(1995, 2031)
+        for a, b in weeks
+    ]
+    counts = [F.count_if(x).alias(f"c{i}") for i, x in enumerate(differs)]
+    assert set(df.agg(*counts).first()) == {0}
+    assert df.filter(calendar.in_iso_weeks(F.col("d"), 2001, 53, 53)).count() == 0
+    assert df.filter(calendar.in_iso_weeks(F.col("d"), 2001, 1, 1)).count() == 8
 
 
 def test_power_and_row_total(frame):

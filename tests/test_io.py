@@ -78,6 +78,20 @@ def test_snapshot_versions(spark, tmp_path):
     again = sinks.publish_snapshot(spark.range(3), root, 1)
     assert again.count() == 3
     assert sinks.publish_snapshot(again.filter("id > 0"), root, 2).count() == 2
+    # The same version read and written at a time.
+    current = sinks.read_snapshot(spark, root)
+    assert sinks.publish_snapshot(current.filter("id > 1"), root, 2).count() == 1
+    assert current.count() == 2 and sinks.read_snapshot(spark, root).count() == 1
+
+
+def test_a_failed_write_leaves_the_old_snapshot(spark, tmp_path):
+    root = str(tmp_path / "s")
+    sinks.publish_snapshot(spark.range(3), root, 1)
+    with pytest.raises(Exception):
+        sinks.publish_snapshot(spark.range(3).select(F.raise_error(F.lit("stop")).alias("id")), root, 2)
+    assert sinks.read_snapshot(spark, root).count() == 3
+    with pytest.raises(FileNotFoundError):
+        sinks.read_snapshot(spark, str(tmp_path / "none"))
 
 
 def test_footprint_adds_up_files(spark, tmp_path):
@@ -150,6 +164,21 @@ def test_stock_ledger_equals_the_batch_and_survives_a_replay(spark, frame, arriv
     base, last = ledger.compact(stock, str(tmp_path / "base"))
     assert [(k, float(v)) for k, v in row_set(base)] == final
     assert [(k, float(v)) for k, v in row_set(ledger.stock(base, after_batch=last))] == final
+    # Again without a new batch: nothing is written, and the base stays.
+    same, still = ledger.compact(base, str(tmp_path / "base"), after_batch=last)
+    assert still == last and [(k, float(v)) for k, v in row_set(same)] == final
+    assert [(k, float(v)) for k, v in row_set(sinks.read_snapshot(spark, str(tmp_path / "base")))] == final
+    ledger.retire(spark, last)
+    assert os.listdir(tmp_path / "ledger") == []
+    assert [(k, float(v)) for k, v in row_set(ledger.stock(base, after_batch=last))] == final
+
+
+def test_a_ledger_without_batches_is_the_base(spark, frame, tmp_path):
+    stock = frame("k int, quantity_available decimal(10,2)", (1, D(10)))
+    ledger = stream.StockLedger(str(tmp_path / "ledger"), ["k"])
+    assert row_set(ledger.stock(stock)) == [(1, D("10.00"))]
+    base, last = ledger.compact(stock, str(tmp_path / "base"))
+    assert last == -1 and row_set(base) == row_set(stock)
 
 
 def test_events_stream_smoke(spark, tmp_path):

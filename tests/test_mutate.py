@@ -170,3 +170,29 @@ def test_pivots(frame):
 
 def test_descending_default(frame):
     assert rows(frame("v int", (1,), (None,), (3,)).orderBy(*descending("v"))) == [(None,), (3,), (1,)]
+
+
+def test_rows_with_a_null_natural_key_are_all_new(frame):
+    table = frame("k string, v int", ("a", 1))
+    batch = frame("k string, v int", (None, 2), (None, 3), ("a", 4), ("b", 5), ("b", 6))
+    assert row_set(mutate.insert_absent(table, batch, ["k"])) == [("b", 5), (None, 2), (None, 3)]
+
+
+def test_upsert_refuses_a_key_that_changes_twice(frame):
+    table = frame("k int, v int", (1, 1), (2, 2))
+    changes = frame("k int, v int", (1, 5), (1, 6))
+    with pytest.raises(Exception, match="changed twice"):
+        mutate.upsert(table, changes, ["k"], ["v"]).collect()
+    ordered = mutate.upsert(table, changes, ["k"], ["v"], [F.col("v").desc()])
+    assert row_set(ordered) == [(1, 6), (2, 2)]
+
+
+def test_cascading_truncate_empties_everything_below(frame):
+    names = ("region", "nation", "customer", "part")
+    tables = {n: frame("id int", (1,), (2,)) for n in names}
+    references = [
+        mutate.Reference("nation", ("id",), "region", ("id",)),
+        mutate.Reference("customer", ("id",), "nation", ("id",)),
+    ]
+    left = {n: df.count() for n, df in mutate.cascade_truncate(tables, references, ["nation"]).items()}
+    assert left == {"region": 2, "nation": 0, "customer": 0, "part": 2}

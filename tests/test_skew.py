@@ -6,8 +6,9 @@ import pytest
 from conftest import row_set
 from pyspark.sql import functions as F
 
-from ledgerline.operators import ingest, lookup, quality
+from ledgerline.operators import ingest, lookup, mutate, quality, visibility
 from ledgerline.operators.ordering import ascending, first_per_key
+from ledgerline.plans import fuel
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -99,6 +100,47 @@ def test_hot_key_is_combined_before_the_shuffle(spark, skewed, check):
     assert max(shuffle_rows(df)) <= 8 * 1000
 
 
+def _repeating(spark, name="k"):
+    """A list that holds each of its keys three times."""
+    return spark.range(1500).select((F.col("id") % 500).alias(name), F.lit(1).alias("value"))
+
+
+@pytest.mark.parametrize(
+    "check", ["present", "absent", "not_in", "resolve", "update", "delete", "accept", "child", "patch", "visible", "prices"]
+)
+def test_a_hot_key_is_split_against_a_list_that_repeats_keys(spark, skewed, check):
+    listed = _repeating(spark)
+    reference = mutate.Reference("c", ("k",), "p", ("pk",))
+    df = {
+        "present": lambda: lookup.present(skewed, listed, ["k"]),
+        "absent": lambda: lookup.absent(skewed, listed, ["k"]),
+        "not_in": lambda: lookup.not_in(skewed, "k", listed, "k"),
+        "resolve": lambda: lookup.resolve_key(skewed, listed.withColumnRenamed("k", "d"), {"k": "d"}, "value", "key"),
+        "update": lambda: mutate.update_where_key(skewed, listed, "k", {"quantity": F.lit(0)}),
+        "delete": lambda: mutate.delete_keys(skewed, listed, ["k"]),
+        "accept": lambda: ingest.accept_batch(
+            spark.range(900).select(F.col("id").alias("k"), F.lit(10).alias("quantity_available")), skewed, ["k"], reject="key"
+        ),
+        "child": lambda: skewed.join(mutate._as_child(listed.withColumnRenamed("k", "pk"), reference), ["k"], "left_anti"),
+        "patch": lambda: fuel.patch_rows(
+            listed.withColumn("name", F.lit("a")),
+            skewed.select(F.col("id").alias("seq"), "k", F.lit("name").alias("column_name"), F.lit("b").alias("new_value")),
+            key="k",
+            columns=("name",),
+        )[1],
+        "visible": lambda: visibility.visible_rows(skewed, listed.withColumn("user_name", F.lit("u")), "u", "k"),
+        "prices": lambda: ingest.price_facts(skewed, listed.distinct().withColumnRenamed("value", "price"), "k"),
+    }[check]()
+    assert "skew=true" in final_plan(df)
+
+
+def test_thin_keeps_one_row_per_key(spark):
+    listed = _repeating(spark).unionByName(spark.createDataFrame([(None, 1), (None, 2)], "k long, value int"))
+    assert row_set(lookup.thin(listed, ["k"])) == row_set(listed.select("k").distinct())
+    sums = lookup.thin(listed, ["k"], F.sum("value").alias("s"))
+    assert row_set(sums) == row_set(listed.groupBy("k").agg(F.sum("value").alias("s")))
+
+
 def test_plan_text_names_the_split(spark, skewed):
     """The marker the tests above look for is the one Spark prints."""
     dim = spark.range(1000).select(F.col("id").alias("k"))
