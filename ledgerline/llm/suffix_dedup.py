@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.scratch import stored
 from ledgerline.llm.suffix_merge import BETWEEN, neighbours
-from ledgerline.llm.texts import RangeHashes, mixed, utf8
+from ledgerline.llm.texts import RangeHashes, mixed, sub_batches, utf8
 
 GRAM = 32
 #: Bytes of text whose anchors are found at a time.
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 #: Bits of the sets that thin out later passes: 16 MB.
 _SET_BITS = 27
 _PLACE = "h bigint, lo bigint, hi bigint, a bigint, g bigint, c bigint"
@@ -145,10 +145,11 @@ def _place_hash(h: np.ndarray, lo: np.ndarray) -> np.ndarray:
 
 def _found(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list[bytes], np.ndarray, tuple[np.ndarray, ...]]]:
     """The anchors of a batch of ``h, text``: texts, which text each is in, and the columns of ``_PLACE``."""
-    names = batch.column("h").to_numpy(zero_copy_only=False)
-    texts = utf8(batch.column("text"))
-    for text, lo, hi, a, g, c in anchors(texts, length):
-        yield texts, text, (names[text], lo, hi, a, g.view(np.int64), c.view(np.int64))
+    for part in sub_batches(batch, "text"):
+        names = part.column("h").to_numpy(zero_copy_only=False)
+        texts = utf8(part.column("text"))
+        for text, lo, hi, a, g, c in anchors(texts, length):
+            yield texts, text, (names[text], lo, hi, a, g.view(np.int64), c.view(np.int64))
 
 
 def _all_grams(texts: DataFrame, length: int) -> DataFrame:
@@ -315,7 +316,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text
         return task
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sub_batches(whole, "text")):
             sizes, removed, spans, kept = [], [], [], []
             for content, own in zip(utf8(batch.column("text")), batch.column("cut").to_pylist()):
                 starts, ends = np.array([(s["start"], s["end"]) for s in own or []], dtype=np.int64).reshape(-1, 2).T

@@ -28,6 +28,16 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()
 
 
+def sub_batches(batch: pa.RecordBatch, text: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have about ``size`` bytes together, so that few become Python objects at a time."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(lengths + 1) - lengths - 1) // size
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def slices(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs ``[first, last)`` of about ``size`` bytes; no text is cut."""
     first, total = 0, 0
@@ -48,7 +58,7 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     known = _POWERS.get(int(base))
     if known is not None and len(known) >= n:
         return known[:n]
-    out = np.full(max(n, 1 << 21), base, dtype=np.uint64)
+    out = np.full(max(n, 1 << 19), base, dtype=np.uint64)
     out[0] = 1
     out = np.multiply.accumulate(out, dtype=np.uint64)
     if len(out) <= 1 << 22:
