@@ -35,6 +35,12 @@ def assign_keys(
     return number_rows(rows, order_by, buckets, key, next_key_base(table, key), unique_order=True)
 
 
+def id_buckets(column: str, chunk: int) -> dict[str, Column]:
+    """Buckets along an id in two levels, so that ids with wide gaps do not make one list of all buckets."""
+    c = F.col(column)
+    return {"__b0": F.floor(c / F.lit(chunk * chunk)), "__b": F.floor(c / F.lit(chunk))}
+
+
 def assign_unordered_keys(
     rows: DataFrame, table: DataFrame, key: str, natural: Sequence[str], spread: int = 65536
 ) -> DataFrame:

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ledgerline.operators.ordering import ascending
 from ledgerline.session import cut_lineage
 
+#: Rows of one range, and so of one window task, at most (about).
+ROWS_PER_RANGE = 2_000_000
 _VALUE = "__value"
 _ROW = "__is_row"
 
@@ -73,8 +75,8 @@ def range_buckets(
 ) -> DataFrame:
     """Cut ``df`` into ranges of ``order_by`` of about equal size.
 
-    There are at most as many as shuffle partitions; AQE joins neighbours where the
-    data is small. The ranges are sampled, so they are written to the checkpoint
+    There are as many as shuffle partitions, or more where a range would hold over ``ROWS_PER_RANGE``
+    rows; AQE joins neighbours where the data is small. The ranges are sampled, so they are written to the checkpoint
     folder: a range number that later stages compute anew could differ. Unless the
     order tells every row from every other, the rows are written with a last key
     ``__tie`` before, so that even a run of equal rows can be cut and a retried task
@@ -84,10 +86,17 @@ def range_buckets(
         stored = df.withColumn("__tie", F.lit(0).cast("bigint"))
     else:
         stored = cut_lineage(df.withColumn("__tie", F.monotonically_increasing_id()))
-    cut = stored.repartitionByRange(*order_by, F.col("__tie").asc())
+    cut = _by_range(stored, [*order_by, F.col("__tie").asc()])
     return cut_lineage(cut.withColumn(name, F.spark_partition_id()))
 
 
+def _by_range(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` range-partitioned; the number of ranges follows the number of rows, so none grows with the table."""
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = -(-df.count() // ROWS_PER_RANGE)
+    return df.repartitionByRange(ranges, *order) if ranges > shuffles else df.repartitionByRange(*order)
+
+
 def running_totals(
     df: DataFrame,
     values: Mapping[str, tuple[Column, str]],
@@ -153,11 +162,35 @@ def number_rows(
     unique_order: bool = False,
 ) -> DataFrame:
     """Dense numbers ``start + 1, start + 2, ...`` in a declared total order, per partition if one is given."""
-    numbered = running_total(df, F.lit(1), order_by, buckets, name, partition_by, "bigint", unique_order)
     base = start if isinstance(start, Column) else F.lit(start)
+    if buckets is None and not partition_by:
+        numbered = _number_ranges(df, order_by, name, unique_order)
+    else:
+        numbered = running_total(df, F.lit(1), order_by, buckets, name, partition_by, "bigint", unique_order)
     return numbered.withColumn(name, (F.col(name) + base).cast("bigint"))
 
 
+def _number_ranges(df: DataFrame, order_by: Sequence[Column], name: str, unique_order: bool) -> DataFrame:
+    """Numbers from 1: sort within ranges, take the place in the range, add the rows of all earlier ranges.
+
+    The rows are range-partitioned and written once, with range and place; a second shuffle is not needed. The
+    counts are one row per range, and so is what is broadcast.
+    """
+    order = list(order_by)
+    if not unique_order:
+        df = cut_lineage(df.withColumn("__tie", F.monotonically_increasing_id()))
+        order.append(F.col("__tie").asc())
+    # The low 33 bits of that id count the rows of the task.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sorted_rows = _by_range(df, order).sortWithinPartitions(*order)
+    placed = cut_lineage(sorted_rows.withColumns({"__range": F.spark_partition_id(), "__place": place}))
+    counts = placed.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
+    before = W.orderBy("__r").rowsBetween(W.unboundedPreceding, -1)
+    earlier = counts.select("__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    joined = placed.join(F.broadcast(earlier), F.col("__range") == F.col("__r"))
+    return joined.withColumn(name, F.col("__before") + F.col("__place") + 1).drop("__range", "__place", "__r", "__before", "__tie")
+
+
 def daily_running_total(
     daily: DataFrame, value: str, day: str, name: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
@@ -240,12 +273,15 @@ def large_groups_frame(
 ) -> DataFrame:
     """``groups_frame`` for any number of distinct keys.
 
-    Peer groups get their number and the running sum up to them. The sum over a
-    frame is then the difference of two running sums, which a peer group fetches
+    With two bounded sides, see ``_bounded_groups``. Otherwise peer groups get their number and the running
+    sum up to them. The sum over a frame is then the difference of two running sums, which a peer group fetches
     from the groups at the frame's ends by equi-joins on the group number.
     """
     parts = list(partition_by)
     peers = peer_totals(df, value, order_by, parts, value_type)
+    if lower is not None and upper is not None:
+        framed = _bounded_groups(peers, order_by, name, lower, upper, parts, value_type, buckets)
+        return _attach(df, framed, [*parts, order_by], name)
     figures = {
         "__g": (F.lit(1), "bigint"),
         "__s": (F.col(_VALUE), value_type),
@@ -284,6 +320,36 @@ def large_groups_frame(
     return _attach(df, framed.select(*parts, order_by, result.alias(name)), [*parts, order_by], name)
 
 
+def _bounded_groups(
+    peers: DataFrame,
+    order_by: str,
+    name: str,
+    lower: int,
+    upper: int,
+    parts: list[str],
+    value_type: str,
+    buckets: Mapping[str, Column] | None,
+    block: int = 100_000,
+) -> DataFrame:
+    """A frame of numbered peer groups, block by block.
+
+    A block of consecutive groups also gets the few groups beyond its ends that its frames reach, so a ROWS
+    frame inside the block is complete. Each group moves once, those near an end twice.
+    """
+    size = max(block, abs(lower), abs(upper), 1)
+    numbered = number_rows(peers, ascending(order_by), buckets, "__g", 0, parts, unique_order=True)
+    at, home = F.pmod("__g", F.lit(size)), F.floor(F.col("__g") / F.lit(size))
+    near = [
+        home,
+        F.when(at < max(0, upper), home - 1),
+        F.when(at >= size - max(0, -lower), home + 1),
+    ]
+    placed = numbered.withColumn("__home", home).withColumn("__block", F.explode(F.array_compact(F.array(*near))))
+    window = W.partitionBy(*parts, "__block").orderBy("__g").rowsBetween(lower, upper)
+    framed = placed.withColumn(name, F.sum(_VALUE).over(window).cast(value_type))
+    return framed.filter(F.col("__block") == F.col("__home")).select(*parts, order_by, name)
+
+
 def running_groups_total(
     df: DataFrame,
     value: Column,

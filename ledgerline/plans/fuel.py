@@ -21,7 +21,7 @@ from ledgerline.operators.ingest import (
     split_rejects,
 )
 from ledgerline.operators.lookup import thin
-from ledgerline.operators.mutate import assign_keys
+from ledgerline.operators.mutate import assign_keys, id_buckets
 from ledgerline.operators.ordering import ascending, top_k
 
 # The texts the patch and load jobs answer with.
@@ -188,7 +188,7 @@ def record_sales(
         transactions,
         "transaction_id",
         ascending("seq"),
-        {"__b": F.floor(F.col("seq") / F.lit(chunk))},
+        id_buckets("seq", chunk),
     )
     stock = fold_stock(inventory, accepted, pair, quantity="quantity_sold")
     return keyed.select(*transactions.columns), bad.select("seq", "reason").unionByName(overdrawn), stock

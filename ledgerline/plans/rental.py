@@ -320,12 +320,13 @@ def films_in_stock(
         # Also without a rental the name is the blank between two empty parts.
         .withColumn("customer_name", F.coalesce("customer_name", F.lit(" ")))
     )
-    if must_match and free.isEmpty():
-        raise LookupError(f'No films matching "{pattern}" are currently available.')
     numbered = windows.number_rows(
         listed,
         ascending("film_title", "inventory_id", "rental_date", "customer_id"),
     )
+    # The numbered rows are written by then; one of them is looked up.
+    if must_match and numbered.isEmpty():
+        raise LookupError(f'No films matching "{pattern}" are currently available.')
     return numbered.select("row_num", "film_title", "language", "inventory_id", "customer_name", "rental_date")
 
 
@@ -420,7 +421,7 @@ def new_films(
     )
     accepted = judged.filter(F.col("reason").isNull()).select("seq", "title", "release_year", "language_id")
     numbered = mutate.assign_keys(
-        accepted, film, "film_id", ascending("seq"), {"__b": F.floor(F.col("seq") / F.lit(chunk))}
+        accepted, film, "film_id", ascending("seq"), mutate.id_buckets("seq", chunk)
     )
     inserted = numbered.select(
         "film_id",
@@ -493,13 +494,13 @@ def take_over_customer(
     rented = rent_titles(
         tables.inventory, tables.film, tables.staff, chosen.select("customer_id").scalar(), titles, today
     )
-    copies = {"__b": F.floor(F.col("inventory_id") / F.lit(chunk))}
+    copies = mutate.id_buckets("inventory_id", chunk)
     rented = mutate.assign_keys(rented, tables.rental, "rental_id", ascending("inventory_id", "staff_id"), copies)
     of_film = rented.join(tables.inventory.select("inventory_id", "film_id"), "inventory_id", "inner")
     paid = rental_charges(of_film, tables.film).select(
         "customer_id", "staff_id", "rental_id", "amount", F.lit(today).alias("payment_date")
     )
-    numbers = {"__b": F.floor(F.col("rental_id") / F.lit(chunk))}
+    numbers = mutate.id_buckets("rental_id", chunk)
     paid = mutate.assign_keys(paid, tables.payment, "payment_id", ascending("rental_id"), numbers)
 
     def grown(table: DataFrame, rows: DataFrame) -> DataFrame:

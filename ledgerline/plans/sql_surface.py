@@ -74,17 +74,39 @@ def publish_rental(spark: SparkSession, tables: rental.RentalTables, as_of: dt.d
     past = tables.rental.select("inventory_id", "customer_id", "rental_date")
     history = left_join_many(not_in(copies, "inventory_id", out, "inventory_id"), past, ["inventory_id"])
     history.join(names, "customer_id", "left").select(
-        "film_title", "language", "inventory_id", F.coalesce("customer_name", F.lit(" ")).alias("customer_name"), "rental_date"
+        "film_title",
+        "language",
+        "inventory_id",
+        F.coalesce("customer_name", F.lit(" ")).alias("customer_name"),
+        "rental_date",
+        "customer_id",
     ).createOrReplaceTempView("stock_history")
-    # Rows only: numbers over all of them are what films_in_stock in plans.rental gives.
+    # Numbers in two steps, titles and then copies, so no window holds more than the copies of one title.
     spark.sql(
         """
         CREATE OR REPLACE TEMPORARY FUNCTION films_in_stock_by_title(pattern STRING)
-        RETURNS TABLE (film_title STRING, language STRING, inventory_id BIGINT, customer_name STRING,
+        RETURNS TABLE (row_num BIGINT, film_title STRING, language STRING, inventory_id BIGINT, customer_name STRING,
                        rental_date TIMESTAMP_NTZ)
-        RETURN SELECT * FROM stock_history
-               WHERE film_title ILIKE coalesce(nullif(trim(films_in_stock_by_title.pattern), ''),
-                                               raise_error('Input title cannot be NULL or empty.'))
+        RETURN WITH listed AS (
+                 SELECT * FROM stock_history
+                 WHERE film_title ILIKE coalesce(nullif(trim(films_in_stock_by_title.pattern), ''),
+                                                 raise_error('Input title cannot be NULL or empty.'))),
+               per_copy AS (SELECT film_title, inventory_id, count(*) AS n FROM listed GROUP BY film_title, inventory_id),
+               per_title AS (SELECT film_title, sum(n) AS n FROM per_copy GROUP BY film_title),
+               titles AS (
+                 SELECT film_title AS title, sum(n) OVER (ORDER BY film_title) - n AS earlier FROM per_title),
+               copies AS (
+                 SELECT film_title AS copy_title, inventory_id AS copy,
+                        sum(n) OVER (PARTITION BY film_title ORDER BY inventory_id) - n AS earlier_copies
+                 FROM per_copy)
+               SELECT earlier + earlier_copies + row_number() OVER (
+                        PARTITION BY film_title, inventory_id ORDER BY rental_date NULLS LAST, customer_id NULLS LAST),
+                      film_title, language, inventory_id, customer_name, rental_date
+               FROM listed JOIN titles ON film_title = title JOIN copies ON film_title = copy_title AND inventory_id = copy
+               UNION ALL
+               SELECT n, '', '', n, '', NULL FROM (SELECT count(*) AS n FROM listed)
+               WHERE CASE WHEN n = 0 THEN raise_error('No films matching the title are currently available.')
+                          ELSE false END
         """
     )
 
