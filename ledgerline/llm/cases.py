@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm.shipping import ship
+
 #: Modules with ``QUERIES`` (name to function of a session and a folder of tables) and ``ORACLE`` (name to SQL).
 MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases", "license_cases", "suffix_cases")
 
@@ -22,4 +24,15 @@ def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[st
     queries["pipeline"] = pipeline.run
     if pipeline.ORACLE_SQL:
         oracle["pipeline"] = pipeline.ORACLE_SQL
-    return queries, oracle
+    return {name: _shipped(fn) for name, fn in queries.items()}, oracle
+
+
+def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with the package sent to the tasks before."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run

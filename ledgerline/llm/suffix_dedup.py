@@ -13,7 +13,7 @@ anchors need to be sorted, each with what lies between the first and the last by
    it, read backwards. Two neighbours that share r bytes after and l bytes before share all strings that begin
    between ``length - r`` and l bytes before the anchor.
 4. What the best r and l of a context over all others still leave open (its best partners in both directions are not one
-   and the same) is settled by a third sort of the strings themselves.
+   and the same) is settled by a third sort of the strings themselves, after counts by hash as in step 1.
 
 Three passes over the texts compute anchors anew rather than keep them. A bit set of fixed size, with one bit per hash of
 what is wanted, lets the later ones leave out most of the rest before the join that decides.
@@ -208,10 +208,46 @@ def _swapped(contexts: DataFrame) -> DataFrame:
     return contexts.select("g", "c", "o", "k").mapInArrow(task, "g bigint, c bigint, o bigint, k binary")
 
 
+def _asked(contexts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Contexts with the offsets of the strings that are asked for."""
+    named = wanted.withColumnsRenamed({"g": "wg", "c": "wc"})
+    return contexts.join(named, (F.col("g") == F.col("wg")) & (F.col("c") == F.col("wc"))).drop("wg", "wc")
+
+
+def _string_hashes(contexts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """``g, c, o, own, s``: hashes of single strings; ``wanted`` has ``g, c, offsets`` and in ``own`` those not settled."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for g, c, k, offsets, own in zip(*(batch.column(n).to_pylist() for n in ("g", "c", "k", "offsets", "own"))):
+                after, _, before = k.partition(BETWEEN)
+                at = len(before) - np.array(offsets, dtype=np.int64)
+                s = RangeHashes(np.frombuffer(before[::-1] + after, dtype=np.uint8)).of(at, at + length)
+                mine = np.isin(offsets, own) if own else np.zeros(len(offsets), dtype=bool)
+                n = len(offsets)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g] * n, pa.int64()), pa.array([c] * n, pa.int64()), pa.array(offsets, pa.int64()), pa.array(mine), pa.array(s.view(np.int64))],
+                    names=["g", "c", "o", "own", "s"],
+                )
+
+    met = _asked(contexts, wanted).select("g", "c", "k", "offsets", "own")
+    return met.mapInArrow(task, "g bigint, c bigint, o bigint, own boolean, s bigint")
+
+
+def _worth_sorting(hashes: DataFrame) -> DataFrame:
+    """``g, c, offsets`` of the strings not settled that have a partner by hash, with one partner each."""
+    by = ["g", "o", "s"]
+    groups = hashes.groupBy(*by).agg(
+        F.count_if("own").alias("n_own"), F.count(F.lit(1)).alias("n"), F.min(F.when(~F.col("own"), F.col("c"))).alias("partner")
+    )
+    groups = stored(groups.filter((F.col("n_own") > 0) & (F.col("n") > 1)).select(*by, "partner"), "string-groups")
+    kept = hashes.join(groups, by).filter(F.col("own") | (F.col("c") == F.col("partner")))
+    return kept.groupBy("g", "c").agg(F.collect_set("o").alias("offsets"))
+
+
 def _strings(contexts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``g, c, o, k``: the single strings of some contexts; ``wanted`` has ``g, c, offsets``."""
-    named = wanted.select(F.col("g").alias("wg"), F.col("c").alias("wc"), "offsets")
-    met = contexts.join(named, (F.col("g") == F.col("wg")) & (F.col("c") == F.col("wc"))).select("g", "c", "k", "offsets")
+    met = _asked(contexts, wanted).select("g", "c", "k", "offsets")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,13 +307,16 @@ def repeated_places(docs: DataFrame, length: int = 400, key: str = "doc_id", tex
     )
     judged = stored(judged, "judged")
     open_o = F.expr("filter(sequence(from_o, to_o), o -> NOT exists(spans, s -> o BETWEEN s.lo AND s.hi))")
-    unsettled = judged.filter((F.col("n") == 1) & (F.col("from_o") <= F.col("to_o"))).select("g", F.explode(open_o).alias("o")).distinct()
-    unsettled = stored(unsettled.groupBy("g").agg(F.collect_set("o").alias("os")), "unsettled")
-    asked = judged.filter(F.col("from_o") <= F.col("to_o")).join(unsettled, "g").select(
-        *ids, F.expr("filter(os, o -> o BETWEEN from_o AND to_o)").alias("offsets")
+    may = judged.filter(F.col("from_o") <= F.col("to_o"))
+    own = F.when(F.col("n") == 1, open_o).otherwise(F.array().cast("array<bigint>"))
+    may = stored(may.select(*ids, "from_o", "to_o", own.alias("own")), "may-match")
+    unsettled = may.select("g", F.explode("own").alias("o")).distinct().groupBy("g").agg(F.collect_set("o").alias("os"))
+    asked = may.join(stored(unsettled, "unsettled"), "g").select(
+        *ids, "own", F.expr("filter(os, o -> o BETWEEN from_o AND to_o)").alias("offsets")
     )
     asked = stored(asked.filter(F.size("offsets") > 0), "asked")
-    strings = stored(_strings(contexts, asked, length), "strings")
+    hashes = stored(_string_hashes(contexts, asked, length), "string-hashes")
+    strings = stored(_strings(contexts, _worth_sorting(hashes), length), "strings")
     equal = neighbours(strings).filter(F.col("first") >= length)
     single = equal.select(*ids, F.array(F.struct(F.col("o").alias("lo"), F.col("o").alias("hi"))).alias("spans"))
     spans = judged.select(*ids, "spans").unionByName(single).filter(F.size("spans") > 0)
