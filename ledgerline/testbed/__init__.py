@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("sales_cases", "rental_cases", "job_cases", "rule_cases", "function_cases")
+MODULES = ("sales_cases", "rental_cases", "job_cases", "rule_cases", "function_cases", "extra_cases")
 
 
 def load_cases() -> tuple[dict, dict]:

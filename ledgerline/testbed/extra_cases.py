@@ -15,7 +15,7 @@ from ledgerline.sources import sinks
 from ledgerline.sources.footprint import footprint
 from ledgerline.sources.tables import ParquetTables, sequence_rows
 from ledgerline.testbed import mapping as m
-from ledgerline.testbed.registry import case, shown
+from ledgerline.testbed.registry import ORACLE, case, shown
 from ledgerline.testbed.rental_cases import ALL_TABLES, payments_by_type, rated_films
 from ledgerline.testbed.sales_cases import _DAILY, _ROUNDED
 
@@ -154,7 +154,7 @@ def s08(t: ParquetTables) -> DataFrame:
 @case(
     "f27_array_length",
     """
-    SELECT c_custkey, CAST(len(list_filter([c_mktsegment, c_name], x -> x LIKE 'B%')) AS INTEGER) AS n FROM customer
+    SELECT c_custkey, CAST(len([x FOR x IN [c_mktsegment, c_name] IF x LIKE 'B%']) AS INTEGER) AS n FROM customer
     """,
 )
 def f27(t: ParquetTables) -> DataFrame:
@@ -163,11 +163,10 @@ def f27(t: ParquetTables) -> DataFrame:
     return t["customer"].select("c_custkey", F.size(kept).alias("n"))
 
 
-def _rental_tables(t: ParquetTables) -> rental.RentalTables:
-    """The driver's tables in the base tables of the rental schema: a line not marked N is a rental, paid on shipping."""
-    lines = t["lineitem"].filter(F.col("l_returnflag") != "N").join(
-        t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "inner"
-    )
+def _rental_tables(t: ParquetTables, all_lines: bool = False) -> rental.RentalTables:
+    """The driver's tables in the base tables of the rental schema: a line (not marked N) is a rental, paid on shipping."""
+    chosen = t["lineitem"] if all_lines else t["lineitem"].filter(F.col("l_returnflag") != "N")
+    lines = chosen.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     out = (F.col("l_linestatus") == "O") & (F.col("l_quantity") >= 49)
     number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
@@ -201,3 +200,17 @@ def _rental_tables(t: ParquetTables) -> rental.RentalTables:
         city=t["nation"].select(F.col("n_nationkey").alias("city_id"), F.col("n_nationkey").alias("country_id")),
         country=t["nation"].select(F.col("n_nationkey").alias("country_id"), F.col("n_name").alias("country")),
     )
+
+
+@case("g02_sql_popular_films", ORACLE["r18_popular_by_nation"].replace("release_year, rental_count\n    FROM (SELECT *", "release_year\n    FROM (SELECT *"))
+def g02_sql(t: ParquetTables) -> DataFrame:
+    """The SQL table function, on base tables of the rental schema."""
+    sql_surface.publish_rental(t.spark, _rental_tables(t, all_lines=True), dt.date(2001, 5, 20))
+    return t.spark.sql("SELECT * FROM most_popular_films_by_countries(array('nation_3', 'Nation_7', 'NATION_12'))")
+
+
+@case("g03_sql_in_stock", ORACLE["r19_in_stock"])
+def g03_sql(t: ParquetTables) -> DataFrame:
+    """The SQL table function with its row numbers."""
+    sql_surface.publish_rental(t.spark, _rental_tables(t), dt.date(2001, 5, 20))
+    return shown(t.spark.sql("SELECT * FROM films_in_stock_by_title(' %RING% ')"))

@@ -190,12 +190,6 @@ def q_all(t: ParquetTables) -> DataFrame:
     )
 
 
-@case("s14_footprint")
-def s14(t: ParquetTables) -> DataFrame:
-    """Bytes, files and rows of every table; file sizes are not in reach of the SQL twin."""
-    return footprint({n: t[n] for n in ALL_TABLES})
-
-
 @case(
     "s14_footprint_rows",
     """
