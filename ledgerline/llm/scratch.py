@@ -29,6 +29,12 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return write_table(df, new_path(df.sparkSession, name))
 
 
+def drop_table(df: DataFrame) -> None:
+    """Remove a table of ``stored`` that nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        drop_path(df.sparkSession, folder)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder in whatever file system its path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

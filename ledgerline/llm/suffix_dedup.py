@@ -33,15 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.scratch import stored
+from ledgerline.llm.scratch import drop_table, stored
 from ledgerline.llm.suffix_merge import BETWEEN, neighbours
 from ledgerline.llm.texts import RangeHashes, mixed, sub_batches, utf8
 
 GRAM = 32
 #: Bytes of text whose anchors are found at a time.
 _PIECE = 1 << 18
-#: Bits of the sets that thin out later passes: 16 MB.
-_SET_BITS = 27
+#: Bits of the sets that thin out later passes: 8 MB.
+_SET_BITS = 26
 _PLACE = "h bigint, lo bigint, hi bigint, a bigint, g bigint, c bigint"
 _PLACE_NAMES = ["h", "lo", "hi", "a", "g", "c"]
 
@@ -116,18 +116,22 @@ def _bit(h: np.ndarray) -> np.ndarray:
     return (mixed(h.view(np.uint64)) >> np.uint64(64 - _SET_BITS)).astype(np.int64)
 
 
-def _bit_set(rows: DataFrame, column: str):
-    """A broadcast bit set of the hashes in a column; none is missing. At most two to the ``_SET_BITS - 6`` numbers are collected."""
+def _bit_set(rows: DataFrame, *columns: str):
+    """A broadcast bit set of the hashes in a column, or of places ``h, lo``; none is missing.
+
+    At most two to the ``_SET_BITS - 6`` numbers are collected, whatever the number of rows.
+    """
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_bit(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)))
+            own = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            at = np.unique(_bit(own[0] if len(own) == 1 else _place_hash(*own)))
             words, place = np.unique(at >> 6, return_inverse=True)
             masks = np.zeros(len(words), dtype=np.uint64)
             np.bitwise_or.at(masks, place, np.uint64(1) << (at & 63).astype(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(masks.view(np.int64))], names=["word", "mask"])
 
-    words = rows.select(column).mapInArrow(bits, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    words = rows.select(*columns).mapInArrow(bits, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask"))
     got = words.toArrow()
     out = np.zeros(1 << (_SET_BITS - 6), dtype=np.uint64)
     out[got["word"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
@@ -195,10 +199,11 @@ def _contexts(texts: DataFrame, length: int, wanted) -> DataFrame:
     return texts.mapInArrow(task, "g bigint, c bigint, o bigint, k binary")
 
 
-def _swapped(contexts: DataFrame) -> DataFrame:
-    """The same contexts with what precedes the anchor first."""
+def _swapped(contexts: DataFrame, grams) -> DataFrame:
+    """The contexts whose gram is in a bit set, with what precedes the anchor first."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_in_set(grams.value, batch.column("g").to_numpy(zero_copy_only=False))))
             keys = []
             for k in batch.column("k").to_pylist():
                 after, _, before = k.partition(BETWEEN)
@@ -266,6 +271,21 @@ def _strings(contexts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return met.mapInArrow(task, "g bigint, c bigint, o bigint, k binary")
 
 
+def _best(shared: DataFrame, length: int) -> DataFrame:
+    """``g, c, r, l, spans``: the most that each context shares on either side, and the strings that it shares with neighbours."""
+    both = F.when(F.col("r") + F.col("l") >= length, F.struct((F.lit(length) - F.col("r")).alias("lo"), F.col("l").alias("hi")))
+    return shared.groupBy("g", "c").agg(F.max("r").alias("r"), F.max("l").alias("l"), F.collect_set(both).alias("spans"))
+
+
+def _undecided(classes: DataFrame, best: DataFrame, length: int) -> DataFrame:
+    """Contexts that occur once and may share strings beyond those known, going by what follows the anchor alone."""
+    once = classes.filter("n = 1").join(best.withColumnsRenamed({"g": "kg", "c": "kc"}), (F.col("g") == F.col("kg")) & (F.col("c") == F.col("kc")))
+    from_o = F.greatest(F.col("least"), F.lit(length) - F.col("r"))
+    some = once.withColumn("from_o", from_o).filter(F.col("from_o") <= F.col("most"))
+    # Neighbours' strings end at what precedes the anchor in both, so the last one alone tells.
+    return some.filter(~F.expr("exists(spans, s -> most BETWEEN s.lo AND s.hi AND s.lo <= from_o)"))
+
+
 def repeated_places(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``h, start, end`` of stretches of repeated strings, which may overlap; ``h`` names rows as ``_texts`` does."""
     texts = _texts(docs, key, text)
@@ -281,20 +301,15 @@ def repeated_places(docs: DataFrame, length: int = 400, key: str = "doc_id", tex
     )
     classes = stored(classes, "classes")
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h, lo = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("h", "lo"))
-            yield pa.RecordBatch.from_arrays([pa.array(_place_hash(h, lo))], names=["p"])
-
-    wanted = _bit_set(classes.select("h", "lo").mapInArrow(hashed, "p bigint"), "p")
-    contexts = stored(_contexts(texts, length, wanted), "contexts")
-    after = neighbours(contexts).select(*ids, F.col("first").alias("r"), F.col("second").alias("l"))
-    before = neighbours(stored(_swapped(contexts), "contexts-back")).select(*ids, F.col("second").alias("r"), F.col("first").alias("l"))
+    contexts = stored(_contexts(texts, length, _bit_set(classes, "h", "lo")), "contexts")
+    after = stored(neighbours(contexts).select(*ids, F.col("first").alias("r"), F.col("second").alias("l")), "after")
+    # The second order is needed only where the first one leaves strings open.
+    open_grams = _undecided(classes, _best(after, length), length).select("g").distinct()
+    back = stored(_swapped(contexts, _bit_set(open_grams, "g")), "contexts-back")
+    before = neighbours(back).select(*ids, F.col("second").alias("r"), F.col("first").alias("l"))
     shared = stored(after.unionByName(before), "shared")
-    # What each context shares with neighbours: the strings that both have, and the best on either side.
-    both = F.when(F.col("r") + F.col("l") >= length, F.struct((F.lit(length) - F.col("r")).alias("lo"), F.col("l").alias("hi")))
-    known = shared.groupBy(*ids).agg(F.max("r").alias("r"), F.max("l").alias("l"), F.collect_set(both).alias("spans"))
-    known = known.select(F.col("g").alias("kg"), F.col("c").alias("kc"), "r", "l", "spans")
+    drop_table(back)
+    known = _best(shared, length).withColumnsRenamed({"g": "kg", "c": "kc"})
     many = F.col("n") > 1
     whole = F.array(F.struct(F.col("least").alias("lo"), F.col("most").alias("hi")))
     no_span = F.array().cast("array<struct<lo:bigint,hi:bigint>>")

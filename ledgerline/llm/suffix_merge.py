@@ -233,7 +233,8 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     at, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
+        # Row by row: one row may hold a megabyte of strings.
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
             if row["range"] != at and held:
                 yield from merge(at, held)
                 held = []
@@ -269,7 +270,7 @@ def neighbours(items: DataFrame, range_bytes: int = 8 << 20) -> DataFrame:
         some = items.filter(F.pmod(F.xxhash64("g", "c", "o"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
         keys = sorted(bytes(r[0]) for r in some.select(F.substring("k", 1, 256)).toLocalIterator())
         splitters = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
-    runs = _runs(items, splitters, run_bytes=32 << 20)
+    runs = _runs(items, splitters, run_bytes=16 << 20)
     placed = runs.repartition(ranges, "range").sortWithinPartitions("range", "run", "piece")
     merged = stored(placed.mapInArrow(_merged, _OUT), "merged")
     inside = merged.filter(F.col("first").isNotNull()).select("g", "c", "o", "first", "second")
