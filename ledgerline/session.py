@@ -41,15 +41,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Folders that ``cut_lineage`` wrote in this process.
+_WRITTEN: list[str] = []
+
+
+def drop_intermediate(spark: SparkSession) -> int:
+    """Remove the tables that ``cut_lineage`` wrote so far; nothing may read them any more. Returns how many."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    done = 0
+    while _WRITTEN:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(target.getFileSystem(hadoop).delete(target, True))
+    return done
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to a table below the checkpoint folder and read it from there.
 
     Later branches do not compute it anew, and a lost executor cannot bring other
     values. A parquet table rather than ``checkpoint()``: it is smaller, and each
-    reader takes only the columns it needs. The table stays until the folder is
-    cleaned, as checkpoints do.
+    reader takes only the columns it needs. The table stays until ``drop_intermediate``
+    or until the folder is cleaned.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/ledgerline-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ingest import fold_stock, price_facts
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import cut_lineage, drop_intermediate, ensure_checkpoint_dir
 from ledgerline.sources import sinks
 from ledgerline.sources.footprint import footprint
 from ledgerline.sources.tables import ParquetTables, array_rows, inline, labelled_rows, sequence_rows
@@ -102,6 +102,15 @@ def test_footprint_adds_up_files(spark, tmp_path):
     assert report == [("t", 4, 1000, sum(sizes), f"{sum(sizes)} bytes" if sum(sizes) < 10240 else report[0][4])]
 
 
+def test_intermediate_tables_are_removed_on_request(spark):
+    drop_intermediate(spark)
+    table = cut_lineage(spark.range(3).toDF("id"))
+    assert table.count() == 3
+    folder = table.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+    assert os.path.isdir(folder)
+    assert drop_intermediate(spark) == 1 and not os.path.isdir(folder)
+
+
 def test_checkpoint_dir_of_the_session_wins(spark):
     folder = ensure_checkpoint_dir(spark)
     assert ensure_checkpoint_dir(spark) == folder == spark.sparkContext.getCheckpointDir()
