@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from ledgerline.llm.scratch import drop_path, new_path, write_table
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """A figure that changes when the set of links changes; one row."""
-    mixed = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed)).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Every node hangs on one other, and none hangs on a node that itself hangs on another."""
+    if not edges.groupBy("u").count().filter("count > 1").isEmpty():
+        return False
+    hung = edges.select(F.col("u").alias("w"))
+    return edges.join(hung, F.col("v") == F.col("w"), "left_semi").isEmpty()
 
 
 def _nearest(rows: DataFrame, path: str) -> DataFrame:
@@ -24,7 +26,7 @@ def connected_components(links: DataFrame, a: str, b: str, node: str = "node", c
 
     Large-star and small-star steps by turns: the first hangs all larger neighbours of a node on its smallest
     neighbour, the second does so with the smaller ones. Both keep the components and only lower the targets; when
-    nothing changes, every node hangs on the smallest of its component. Steps are written to the checkpoint folder, and
+    the links are stars, every node hangs on the smallest of its component. Steps are written to the checkpoint folder, and
     the tables of a finished step are dropped. Null ends and links of a node to itself are ignored; repeated
     links count once; no links give no rows.
     """
@@ -33,8 +35,7 @@ def connected_components(links: DataFrame, a: str, b: str, node: str = "node", c
     first = links.filter(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
     at = new_path(spark, "links")
     edges = write_table(first, at)
-    seen = _fingerprint(edges)
-    while True:
+    while not _is_stars(edges):
         near_at, large_at = new_path(spark, "near"), new_path(spark, "large")
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = _nearest(both, near_at)
@@ -49,10 +50,7 @@ def connected_components(links: DataFrame, a: str, b: str, node: str = "node", c
         edges = write_table(moved.unionByName(hung).distinct(), small_at)
         for done in (at, near_at, large_at, small_near_at):
             drop_path(spark, done)
-        at, now = small_at, _fingerprint(edges)
-        if now == seen:
-            break
-        seen = now
+        at = small_at
     found = edges.select(F.col("u").alias(node), F.col("v").alias(component))
     roots = edges.select(F.col("v").alias(node), F.col("v").alias(component)).distinct()
     return found.unionByName(roots)
