@@ -36,6 +36,8 @@ from ledgerline.llm.texts import utf8
 
 BITS = 64
 SEED = 42
+#: Where a segment's number stands above its value in a key.
+_SEGMENT_SHIFT = 40
 #: Shingles whose bits are counted at a time.
 _BLOCK = 1 << 16
 
@@ -106,16 +108,26 @@ def _masks(width: int, most: int) -> list[int]:
 
 
 def _tables(fps: DataFrame, segments: int) -> DataFrame:
-    """``seg, value, b``: the table of each segment."""
-    rows = [
-        F.struct(F.lit(i).alias("seg"), _value(F.col("fp"), low, width).alias("value"))
-        for i, (low, width) in enumerate(_segments(segments))
-    ]
-    return fps.select(F.col("fp").alias("b"), F.explode(F.array(*rows)).alias("k")).select("k.seg", "k.value", "b")
+    """``k, b``: the table of each segment; ``k`` is a segment's number above its value."""
+    rows = [_key(i, _value(F.col("fp"), low, width)) for i, (low, width) in enumerate(_segments(segments))]
+    return fps.select(F.explode(F.array(*rows)).alias("k"), F.col("fp").alias("b"))
+
+
+def _key(segment: int, value: Column) -> Column:
+    return F.lit(segment << _SEGMENT_SHIFT).cast("bigint").bitwiseOR(value)
+
+
+def _same_value(segments: int, a: Column, b: Column, k: Column) -> Column:
+    """Two fingerprints have the same value in the segment that ``k`` is of."""
+    segment, differing = F.shiftright(k, _SEGMENT_SHIFT), a.bitwiseXOR(b)
+    out = F.lit(False)
+    for i, (low, width) in enumerate(_segments(segments)):
+        out = F.when(segment == i, _value(differing, low, width) == 0).otherwise(out)
+    return out
 
 
 def _lookups(fps: DataFrame, segments: int, max_bits: int) -> DataFrame:
-    """``seg, value, a, own``: the values that each fingerprint looks up; ``own`` where it is its own."""
+    """``k, a``: the values that each fingerprint looks up, its own among them."""
     each, extra = divmod(max_bits, segments)
     parts = []
     for i, (low, width) in enumerate(_segments(segments)):
@@ -126,9 +138,7 @@ def _lookups(fps: DataFrame, segments: int, max_bits: int) -> DataFrame:
         looked = fps.select("fp", _value(F.col("fp"), low, width).alias("mine"), F.explode(masks).alias("mask"))
         value = F.col("mine").bitwiseXOR(F.col("mask"))
         parts.append(
-            looked.filter(value >= F.col("mine")).select(
-                F.lit(i).alias("seg"), value.alias("value"), F.col("fp").alias("a"), (F.col("mask") == 0).alias("own")
-            )
+            looked.filter(value >= F.col("mine")).select(_key(i, value).alias("k"), F.col("fp").alias("a"))
         )
     out = parts[0]
     for part in parts[1:]:
@@ -136,12 +146,15 @@ def _lookups(fps: DataFrame, segments: int, max_bits: int) -> DataFrame:
     return out
 
 
-def _linked(max_bits: int) -> Column:
+def _linked(max_bits: int, segments: int) -> Column:
     """A lookup meets a table row: near enough, and the same value only from one side."""
-    return (~F.col("own") | (F.col("a") < F.col("b"))) & (_differing("a", "b") <= max_bits)
+    own = _same_value(segments, F.col("a"), F.col("b"), F.col("k"))
+    return (~own | (F.col("a") < F.col("b"))) & (_differing("a", "b") <= max_bits)
 
 
-def _crowded(lookups: DataFrame, tables: DataFrame, hot: DataFrame, links: DataFrame, max_bits: int) -> DataFrame:
+def _crowded(
+    lookups: DataFrame, tables: DataFrame, hot: DataFrame, links: DataFrame, max_bits: int, segments: int
+) -> DataFrame:
     """Links that reach every component that the pairs of the ``hot`` values would.
 
     All rows of a hot value are compared with its smallest fingerprint, which takes one comparison a row. Rows that
@@ -149,10 +162,13 @@ def _crowded(lookups: DataFrame, tables: DataFrame, hot: DataFrame, links: DataF
     also agree on one of ``max_bits + 1`` blocks of the 64 bits; of two fingerprints that differ in ``max_bits`` bits, at
     least one block is the same. Pairs of one component are left out, for they would add nothing.
     """
-    keys = ["seg", "value"]
+    keys = ["k"]
+    mine = F.lit(None).cast("bigint")
+    for i, (low, width) in enumerate(_segments(segments)):
+        mine = F.when(F.shiftright("k", _SEGMENT_SHIFT) == i, _key(i, _value(F.col("a"), low, width))).otherwise(mine)
     members = stored(
         tables.select(*keys, F.col("b").alias("x"), F.lit(True).alias("listed")).unionByName(
-            lookups.filter(~F.col("own")).select(*keys, F.col("a").alias("x"), F.lit(False).alias("listed"))
+            lookups.filter(F.col("k") != mine).select(*keys, F.col("a").alias("x"), F.lit(False).alias("listed"))
         ).join(hot, keys, "left_semi"),
         "hot-members",
     )
@@ -173,10 +189,10 @@ def _crowded(lookups: DataFrame, tables: DataFrame, hot: DataFrame, links: DataF
     cut = F.explode(
         F.array(*[F.struct(F.lit(i).alias("block"), _value(F.col("x"), lo, w).alias("part")) for i, (lo, w) in enumerate(blocks)])
     )
-    rows = rest.select(*keys, "x", "listed", "c", cut.alias("k")).select(*keys, "k.block", "k.part", "x", "listed", "c")
-    left = rows.select(*keys, "block", "part", F.col("x").alias("a"), F.col("listed").alias("own"), F.col("c").alias("ca"))
+    rows = rest.select(*keys, "x", "listed", "c", cut.alias("p")).select(*keys, "p.block", "p.part", "x", "listed", "c")
+    left = rows.select(*keys, "block", "part", F.col("x").alias("a"), F.col("c").alias("ca"))
     right = rows.filter("listed").select(*keys, "block", "part", F.col("x").alias("b"), F.col("c").alias("cb"))
-    near = (F.col("ca") != F.col("cb")) & _linked(max_bits)
+    near = (F.col("ca") != F.col("cb")) & _linked(max_bits, segments)
     pairs = left.join(right, [*keys, "block", "part"]).filter(near).select("a", "b")
     return star.unionByName(pairs)
 
@@ -185,13 +201,13 @@ def link_fingerprints(fps: DataFrame, max_bits: int, segments: int = 2, bucket:
     """``a, b``: links between different values of the column ``fp`` (each value once) that connect every component."""
     tables = _tables(fps, segments)
     lookups = _lookups(fps, segments, max_bits)
-    counts = tables.groupBy("seg", "value").count().filter(F.col("count") > bucket).select("seg", "value")
+    counts = tables.groupBy("k").count().filter(F.col("count") > bucket).select("k")
     hot = stored(counts, "hot-values")
     if hot.isEmpty():
-        return lookups.join(tables, ["seg", "value"]).filter(_linked(max_bits)).select("a", "b")
-    cold = tables.join(hot, ["seg", "value"], "left_anti")
-    links = stored(lookups.join(cold, ["seg", "value"]).filter(_linked(max_bits)).select("a", "b"), "links")
-    return links.unionByName(_crowded(lookups, tables, hot, links, max_bits))
+        return lookups.join(tables, "k").filter(_linked(max_bits, segments)).select("a", "b")
+    cold = tables.join(hot, "k", "left_anti")
+    links = stored(lookups.join(cold, "k").filter(_linked(max_bits, segments)).select("a", "b"), "links")
+    return links.unionByName(_crowded(lookups, tables, hot, links, max_bits, segments))
 
 
 def near_duplicates(
