@@ -12,7 +12,8 @@ larger, so every link is fetched from one side.
 
 Tables hold distinct fingerprints, so copies are one row. A segment value that more than ``bucket`` fingerprints
 share is not expanded into pairs: its rows are first linked to one of them, and only if they then still belong to several
-components are the rest compared, cut further by the other bits (``_crowded``). No link between components is lost.
+components are the rest compared, cut further by the other bits (``_crowded``). Where links must also be similar, they are
+tested before components are taken, so no similar link between components is lost.
 
 Nulls and odd rows: a null text is the empty text, with fingerprint zero, linked like any other; fewer words than a
 shingle make one shingle of all of them; repeated rows and repeated ids are rows like others; rows with a null
@@ -22,7 +23,7 @@ read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -153,14 +154,21 @@ def _linked(max_bits: int, segments: int) -> Column:
 
 
 def _crowded(
-    lookups: DataFrame, tables: DataFrame, hot: DataFrame, links: DataFrame, max_bits: int, segments: int
+    lookups: DataFrame,
+    tables: DataFrame,
+    hot: DataFrame,
+    links: DataFrame,
+    max_bits: int,
+    segments: int,
+    verified: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Links that reach every component that the pairs of the ``hot`` values would.
 
     All rows of a hot value are compared with its smallest fingerprint, which takes one comparison a row. Rows that
     are then still in another component than some row of their value are compared with each other where they
     also agree on one of ``max_bits + 1`` blocks of the 64 bits; of two fingerprints that differ in ``max_bits`` bits, at
-    least one block is the same. Pairs of one component are left out, for they would add nothing.
+    least one block is the same. Pairs of one component are left out, for they would add nothing;
+    components are those of ``verified`` links, as ``links`` are.
     """
     keys = ["k"]
     mine = F.lit(None).cast("bigint")
@@ -174,7 +182,8 @@ def _crowded(
     )
     centre = stored(members.filter("listed").groupBy(*keys).agg(F.min("x").alias("centre")), "hot-centres")
     star = members.join(centre, keys).filter(_differing("x", "centre") <= max_bits)
-    star = stored(star.select(F.col("x").alias("a"), F.col("centre").alias("b")).filter("a <> b"), "hot-star")
+    star = star.select(F.col("x").alias("a"), F.col("centre").alias("b")).filter("a <> b").distinct()
+    star = stored(verified(star), "hot-star")
     so_far = links.unionByName(star)
     component = stored(connected_components(so_far, "a", "b"), "hot-components")
     placed = stored(
@@ -194,20 +203,30 @@ def _crowded(
     right = rows.filter("listed").select(*keys, "block", "part", F.col("x").alias("b"), F.col("c").alias("cb"))
     near = (F.col("ca") != F.col("cb")) & _linked(max_bits, segments)
     pairs = left.join(right, [*keys, "block", "part"]).filter(near).select("a", "b")
-    return star.unionByName(pairs)
+    return star.unionByName(verified(pairs.distinct()))
 
 
-def link_fingerprints(fps: DataFrame, max_bits: int, segments: int = 2, bucket: int = 64) -> DataFrame:
-    """``a, b``: links between different values of the column ``fp`` (each value once) that connect every component."""
+def link_fingerprints(
+    fps: DataFrame,
+    max_bits: int,
+    segments: int = 2,
+    bucket: int = 64,
+    verified: Callable[[DataFrame], DataFrame] = lambda links: links,
+) -> DataFrame:
+    """``a, b``: links between different values of the column ``fp`` (each value once) that connect every component.
+
+    ``verified`` keeps those of some links ``a, b`` that hold; components are those of the links that it keeps.
+    """
     tables = _tables(fps, segments)
     lookups = _lookups(fps, segments, max_bits)
     counts = tables.groupBy("k").count().filter(F.col("count") > bucket).select("k")
     hot = stored(counts, "hot-values")
     if hot.isEmpty():
-        return lookups.join(tables, "k").filter(_linked(max_bits, segments)).select("a", "b")
+        return verified(lookups.join(tables, "k").filter(_linked(max_bits, segments)).select("a", "b"))
     cold = tables.join(hot, "k", "left_anti")
-    links = stored(lookups.join(cold, "k").filter(_linked(max_bits, segments)).select("a", "b"), "links")
-    return links.unionByName(_crowded(lookups, tables, hot, links, max_bits, segments))
+    links = lookups.join(cold, "k").filter(_linked(max_bits, segments)).select("a", "b")
+    links = stored(verified(links), "links")
+    return links.unionByName(_crowded(lookups, tables, hot, links, max_bits, segments, verified))
 
 
 def near_duplicates(
@@ -228,9 +247,15 @@ def near_duplicates(
     """
     marked = stored(fingerprints(docs, words, key, text, sketch if similarity is not None else 0), "fingerprints")
     distinct = stored(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-    links = link_fingerprints(distinct.select("fp"), max_bits, segments, bucket)
-    if similarity is not None:
-        links = _similar(links, marked.select(F.col(key).alias("key"), "fp", "sketch"), distinct, similarity, sketch)
+    if similarity is None:
+        links = link_fingerprints(distinct.select("fp"), max_bits, segments, bucket)
+    else:
+        sketches = marked.select(F.col(key).alias("key"), "fp", "sketch")
+
+        def verified(links: DataFrame) -> DataFrame:
+            return _similar(links, sketches, distinct, similarity, sketch)
+
+        links = link_fingerprints(distinct.select("fp"), max_bits, segments, bucket, verified)
     component = stored(connected_components(links, "a", "b"), "components")
     named = distinct.join(component, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("c")

@@ -87,6 +87,35 @@ def test_similarity_is_asked_for(spark):
     assert {r.component_id for r in strict.collect()} == {1, 2, 3}
 
 
+def test_similar_copies_of_a_crowded_value_stay_linked(spark):
+    """Copies are similar to their original and often not to the smallest fingerprint of their value."""
+    rng = random.Random(5)
+    original = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(0, " ".join(original))]
+    for i in range(1, 40):
+        copy = list(original)
+        for at in rng.sample(range(200), 3):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+
+    def shingles(text):
+        words = text.split()
+        return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    points = {i: (fingerprint(t, 5), shingles(t)) for i, t in rows}
+    root = {i: i for i in points}
+    for a in points:
+        for b in points:
+            (fa, sa), (fb, sb) = points[a], points[b]
+            if a < b and (fa ^ fb).bit_count() <= 12 and len(sa & sb) >= 0.85 * len(sa | sb):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {i: new if r == old else r for i, r in root.items()}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = s.near_duplicates(docs, max_bits=12, words=5, segments=3, similarity=0.85, bucket=2, sketch=10_000)
+    assert {r.doc_id: r.component_id for r in got.collect()} == root
+    assert len(set(root.values())) < 10
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert s.near_duplicates(docs).collect() == []
