@@ -2,10 +2,10 @@
 
 Words are runs of ASCII letters and digits and of bytes from 0x80 on, A-Z lowered, so marks and line breaks do not
 matter. Seeds are the five-word shingles of the benchmark items. A passage is a stretch of a document around seeds that
-lie within one item's length of each other, with that much room on both sides. Of the seeds, those in more than
-``common`` passages are dropped where one of the four seeds around them in their item is rarer: a copy of the item brings its
-rarer neighbours along. Passages and items that share a seed are aligned word by word (match 2, mismatch and gap -1); the
-score is that of the best local alignment over twice the words of the item, 1 for an exact copy.
+lie within one item's length of each other, with that much room on both sides. Passages and items that share any seed, however frequent, are aligned word by word (match 2, mismatch and gap -1), unless the
+passage holds too few of the item's words to reach ``least_score``; the score is that of the best local alignment over twice
+the words of the item, 1 for an exact copy. Seeds in more than ``common`` passages are joined apart, by a broadcast of them, so
+that none of them fills a task.
 
 The benchmark is tested to be small before its seeds go to every task (``most_seeds``); a larger one makes every document a
 passage and joins them by shuffles. Everything after the scan is joins on seeds, of which a document has few.
@@ -150,22 +150,29 @@ def passages(docs: DataFrame, key: str, text: str, seeds, reach: int) -> DataFra
     return rows.mapInArrow(task, f"key {kind}, first_word bigint, words array<bigint>, seeds array<bigint>")
 
 
-def _rare(seeds: DataFrame, holders: DataFrame, common: int) -> DataFrame:
-    """``seed, item``: occurring seeds, common ones only where no seed of their five places is rarer."""
+def _met(seeds: DataFrame, holders: DataFrame, common: int) -> DataFrame:
+    """``passage, item`` of all that share a seed, each once."""
     df = holders.groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
-    counted = stored(seeds.join(df, "seed"), "seed-counts")
-    runs = counted.withColumn("run", F.floor(F.col("place") / SEED_WORDS))
-    least = runs.groupBy("item", "run").agg(F.min("df").alias("least"))
-    kept = runs.join(least.withColumnRenamed("item", "i").withColumnRenamed("run", "r"), F.col("item").eqNullSafe(F.col("i")) & (F.col("run") == F.col("r")))
-    return kept.filter((F.col("df") <= common) | (F.col("df") == F.col("least"))).select("seed", "item").distinct()
+    counted = stored(seeds.select("seed", "item").distinct().join(df, "seed"), "seed-counts")
+    held = holders.select("passage", "seed")
+    few = counted.filter(F.col("df") <= common).select("seed", "item")
+    # At most one seed per ``common`` rows of ``holders``.
+    many = stored(counted.filter(F.col("df") > common).select("seed", "item"), "common-seeds")
+    pairs = held.join(few, "seed").select("passage", "item")
+    return pairs.unionByName(held.join(F.broadcast(many), "seed").select("passage", "item")).distinct()
 
 
-def _scored(pairs: DataFrame, key_kind: str, item_kind: str) -> DataFrame:
+def _scored(pairs: DataFrame, key_kind: str, item_kind: str, least_score: float) -> DataFrame:
+    """The pairs' scores, without those that can't reach ``least_score``."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for key, item, first, a, b in zip(*(batch.column(c).to_pylist() for c in ("key", "item", "first_word", "item_words", "words"))):
                 a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+                # No alignment matches more words of the item than the passage holds.
+                if np.isin(a, b).sum() / len(a) < least_score:
+                    continue
                 score, end = align(a, b)
                 _, back = align(a[::-1], b[:end][::-1])
                 rows.append((key, item, score / (MATCH * len(a)), first + end - back, first + end))
@@ -204,12 +211,11 @@ def contaminated(
     found = passages(docs, key, text, shared, reach=longest + longest // 4 + 1)
     found = stored(found.withColumn("passage", F.monotonically_increasing_id()), "passages")
     holders = found.select("key", "passage", F.explode("seeds").alias("seed"))
-    rare = stored(_rare(seeds, holders, common), "rare-seeds")
-    pairs = holders.select("passage", "seed").join(rare, "seed").select("passage", "item").distinct()
+    pairs = _met(seeds, holders, common)
     words = items.select(F.col("item").alias("i"), F.col("words").alias("item_words"))
     met = pairs.join(found.drop("seeds"), "passage").join(words, F.col("item").eqNullSafe(F.col("i")))
     kinds = [t.schema[c].dataType.simpleString() for t, c in ((docs, key), (benchmark, item))]
-    best = _scored(met, *kinds).filter(F.col("score") >= least_score)
+    best = _scored(met, *kinds, least_score).filter(F.col("score") >= least_score)
     place = F.struct("score", -F.col("first_word"), -F.col("end_word"))
     top = best.groupBy("key", "item").agg(F.max(place).alias("b"))
     return top.select(

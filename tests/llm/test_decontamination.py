@@ -75,6 +75,17 @@ def test_frequent_seeds_still_find_what_only_they_can(spark):
     assert {k for k, _ in found(spark, rows, common=1)} == set(range(30))
 
 
+def test_edited_copies_of_a_common_item_are_found(spark):
+    """The edits make the seeds that are left intact more frequent than those that they break."""
+    words = ITEMS[0][1].split()
+    edited = " ".join([*words[:5], "edited", *words[6:11], "changed", *words[12:]])
+    rows = [(i, FILL + (ITEMS[0][1] if i < 10 else edited)) for i in range(40)]
+    got = found(spark, rows, items=ITEMS[:1], common=4)
+    want = {(k, 1): score([w.lower() for w in words], t.lower().split()) / (2 * len(words)) for k, t in rows}
+    assert {k: r.score for k, r in got.items()} == want
+    assert min(want.values()) == 0.8
+
+
 def test_empty_tables(spark):
     assert found(spark, [(1, ITEMS[0][1])], items=[(3, None)]) == {}
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
