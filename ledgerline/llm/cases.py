@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.llm.shipping import ship
 
 #: Modules with ``QUERIES`` (name to function of a session and a folder of tables) and ``ORACLE`` (name to SQL).
-MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases", "license_cases", "suffix_cases", "merkle_cases", "language_cases")
+MODULES = ("text_cases", "near_cases", "packing_cases", "warc_cases", "decontamination_cases", "line_cases", "toxicity_cases", "license_cases", "suffix_cases", "merkle_cases", "language_cases", "lexical_cases")
 
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
