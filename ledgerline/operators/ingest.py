@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.numbers import MONEY
 from ledgerline.operators.lookup import resolve_key, thin
+from ledgerline.operators.windows import running_total
+from ledgerline.session import cut_lineage
 
 QUANTITY = "decimal(18,2)"
+#: Rows of a key that one task folds in order; keys with more are cut first.
+FOLD_ROWS = 2000
 
 
 def price_facts(
@@ -86,6 +90,79 @@ def accept_batch(
     )
 
 
+def accept_rows(
+    stock: DataFrame,
+    facts: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    available: str = "quantity_available",
+    quantity: str = "quantity",
+    fold_rows: int = FOLD_ROWS,
+) -> DataFrame:
+    """Facts with an ``accepted`` flag, judged one after another as single inserts would be.
+
+    Along ``order`` a fact is refused just if the balance of its key, less what was accepted before, does not cover it; a
+    refused fact takes nothing, so that a smaller one after it may still pass. ``order`` tells the facts of a key apart; of equal ones the
+    smaller quantity is first. Several stock rows of a key all go down, so the least one decides; a key without
+    stock (or a null in it) takes every fact. A null quantity takes nothing, one below zero is refused.
+
+    Whether a fact passes depends on all before it, which no window sum can tell. Keys of up to ``fold_rows`` facts are folded in one
+    task. For a key with more, running sums over ranges of any size accept all facts before the first that overdraws; every
+    later fact above the balance then left is refused at once, since balances only fall; what remains starts anew with that
+    balance. A round more than halves what can still be sold where quantities are spread, so few rounds follow; each writes its rows once to the
+    checkpoint folder.
+    """
+    keys = [f"k{i}" for i in range(len(key))]
+    cents = F.coalesce(F.col(quantity).cast(QUANTITY) * 100, F.lit(0)).cast("bigint")
+    rows = facts.select(
+        *[F.col(f"`{c}`").alias(k) for c, k in zip(key, keys)],
+        F.struct(*[F.col(f"`{c}`") for c in order], cents.alias("__cents")).alias("at"),
+        cents.alias("cents"),
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(facts.columns)]).alias("row"),
+    )
+    least = stock.groupBy(*key).agg(F.min((F.col(available).cast("decimal(28,2)") * 100).cast("bigint")).alias("balance"))
+    known = rows.join(least.toDF(*keys, "balance"), keys, "left")
+    free = known.filter(F.col("balance").isNull() | (F.col("cents") < 0)).select("row", (F.col("cents") >= 0).alias("accepted"))
+    waiting = known.filter(F.col("balance").isNotNull() & (F.col("cents") >= 0))
+    judged = free
+    while True:
+        sizes = waiting.groupBy(*keys).count()
+        hot = cut_lineage(sizes.filter(F.col("count") > fold_rows).select(*keys))
+        if hot.isEmpty():
+            judged = judged.unionByName(_folded(waiting, keys))
+            break
+        judged = judged.unionByName(_folded(waiting.join(hot, keys, "left_anti"), keys))
+        crowded = waiting.join(hot, keys, "left_semi")
+        summed = running_total(crowded, F.col("cents"), [F.col("at").asc()], name="so_far", partition_by=keys, value_type="decimal(38,0)")
+        summed = cut_lineage(summed)
+        covered = F.col("so_far") <= F.col("balance")
+        taken = summed.filter(covered).groupBy(*keys).agg(F.max("so_far").cast("bigint").alias("taken"))
+        judged = judged.unionByName(summed.filter(covered).select("row", F.lit(True).alias("accepted")))
+        rest = summed.filter(~covered).join(taken, keys, "left")
+        rest = rest.withColumn("balance", F.col("balance") - F.coalesce("taken", F.lit(0).cast("bigint"))).drop("taken", "so_far")
+        judged = judged.unionByName(rest.filter(F.col("cents") > F.col("balance")).select("row", F.lit(False).alias("accepted")))
+        waiting = cut_lineage(rest.filter(F.col("cents") <= F.col("balance")))
+    return judged.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(facts.columns)], "accepted")
+
+
+def _folded(waiting: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``row, accepted`` of keys with few rows, taken in order."""
+    listed = waiting.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("at", "cents", "row"))).alias("rows"),
+        F.min("balance").alias("balance"),
+    )
+
+    def step(state: Column, row: Column) -> Column:
+        fits = row["cents"] <= state["balance"]
+        left = F.when(fits, state["balance"] - row["cents"]).otherwise(state["balance"])
+        return F.struct(left.alias("balance"), F.concat(state["flags"], F.array(fits)).alias("flags"))
+
+    start = F.struct(F.col("balance"), F.array().cast("array<boolean>").alias("flags"))
+    flags = F.aggregate("rows", start, step, lambda state: state["flags"])
+    each = listed.select(F.explode(F.arrays_zip(F.col("rows").alias("r"), flags.alias("f"))).alias("x"))
+    return each.select(F.col("x.r.row").alias("row"), F.col("x.f").alias("accepted"))
+
+
 def first_failure(*steps: tuple[Column, str]) -> Column:
     """Text of the first condition that holds, NULL when none does."""
     result = F.lit(None).cast("string")

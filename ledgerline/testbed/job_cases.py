@@ -745,6 +745,54 @@ def q10_batch(t: ParquetTables) -> DataFrame:
     return judged.groupBy("accepted").agg(F.count(F.lit(1)).alias("n"))
 
 
+_ROWS = """
+    st AS (SELECT l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) / 4 AS DECIMAL(18,2)) AS b FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+    n AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS DECIMAL(18,2)) AS q,
+          row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS i FROM lineitem WHERE l_returnflag = 'N'),
+    f AS (
+      SELECT n.*, b IS NULL OR q <= b AS accepted, CASE WHEN q <= b THEN b - q ELSE b END AS b FROM n LEFT JOIN st USING (l_partkey) WHERE i = 1
+      UNION ALL
+      SELECT n.*, f.b IS NULL OR n.q <= f.b, CASE WHEN n.q <= f.b THEN f.b - n.q ELSE f.b END
+      FROM n JOIN f ON n.l_partkey = f.l_partkey AND n.i = f.i + 1)"""
+
+
+def _row_inputs(t: ParquetTables) -> tuple[DataFrame, DataFrame]:
+    """A quarter of what came back is in stock, so that many parts run short."""
+    stock, facts = _balance_inputs(t)
+    return stock.withColumn("quantity_available", (F.col("quantity_available") / 4).cast("decimal(18,2)")), facts
+
+
+@case("q10_accept_rows", f"WITH RECURSIVE {_ROWS} SELECT l_orderkey, l_linenumber, l_partkey, accepted FROM f")
+def q10_rows(t: ParquetTables) -> DataFrame:
+    """Each sale by itself: refused if the part's stock does not cover it, and then taking nothing."""
+    stock, facts = _row_inputs(t)
+    judged = ingest.accept_rows(stock, facts, ["l_partkey"], ["l_orderkey", "l_linenumber"])
+    return judged.select("l_orderkey", "l_linenumber", "l_partkey", "accepted")
+
+
+@case(
+    "q10_accept_rows_large",
+    """
+    WITH RECURSIVE st AS (SELECT l_suppkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) / 4 AS DECIMAL(18,2)) AS b FROM lineitem GROUP BY 1),
+    n AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)) AS q,
+          row_number() OVER (PARTITION BY l_suppkey ORDER BY l_linenumber, l_orderkey) AS i FROM lineitem),
+    f AS (
+      SELECT n.l_suppkey, n.i, q <= b AS accepted, CASE WHEN q <= b THEN b - q ELSE b END AS b, l_orderkey, l_linenumber FROM n JOIN st USING (l_suppkey) WHERE i = 1
+      UNION ALL
+      SELECT n.l_suppkey, n.i, n.q <= f.b, CASE WHEN n.q <= f.b THEN f.b - n.q ELSE f.b END, n.l_orderkey, n.l_linenumber
+      FROM f JOIN n ON n.l_suppkey = f.l_suppkey AND n.i = f.i + 1)
+    SELECT l_orderkey, l_linenumber, l_suppkey, accepted FROM f
+    """,
+)
+def q10_rows_large(t: ParquetTables) -> DataFrame:
+    """The same with few keys: most suppliers have more sales than one task is given to fold."""
+    quantity = F.col("l_quantity").cast("decimal(18,2)")
+    sales = t["lineitem"].select("l_orderkey", "l_linenumber", "l_suppkey", quantity.alias("quantity"))
+    stock = sales.groupBy("l_suppkey").agg((F.sum("quantity") / 4).cast("decimal(18,2)").alias("quantity_available"))
+    judged = ingest.accept_rows(stock, sales, ["l_suppkey"], ["l_linenumber", "l_orderkey"], fold_rows=300)
+    return judged.select("l_orderkey", "l_linenumber", "l_suppkey", "accepted")
+
+
 # -- visibility ----------------------------------------------------------------
 
 
