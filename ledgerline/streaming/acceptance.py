@@ -22,14 +22,14 @@ from ledgerline.operators.ingest import QUANTITY
 
 #: State variables of this kind need it; to be set on the session that runs the stream.
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-_CENTS, _ORDER = "__cents", "__at"
+_CENTS = "__cents"
 
 
 class Balance(StatefulProcessor):
     """Keeps what is left of a key's stock in hundredths; without stock nothing is refused."""
 
-    def __init__(self, columns: Sequence[str]):
-        self.columns = list(columns)
+    def __init__(self, columns: Sequence[str], order: Sequence[str]):
+        self.columns, self.order = list(columns), list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.left = handle.getValueState("left", "cents bigint")
@@ -37,7 +37,7 @@ class Balance(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self.left.exists()
         left = self.left.get()[0] if known else 0
-        for row in sorted(rows, key=lambda r: (tuple((x is not None, x) for x in r[_ORDER]), r[_CENTS])):
+        for row in sorted(rows, key=lambda r: ([(r[c] is not None, r[c]) for c in self.order], r[_CENTS])):
             cents = row[_CENTS]
             accepted = cents >= 0 and (not known or cents <= left)
             if known and accepted:
@@ -62,11 +62,11 @@ def judged_stream(
     A null quantity takes nothing, one below zero is refused; of several stock rows of a key the least decides.
     """
     cents = F.coalesce(F.col(quantity).cast(QUANTITY) * 100, F.lit(0)).cast("bigint")
-    marked = facts.withColumns({_CENTS: cents, _ORDER: F.struct(*order)})
+    marked = facts.withColumn(_CENTS, cents)
     start = stock.groupBy(*key).agg(F.min((F.col(available).cast("decimal(28,2)") * 100).cast("bigint")).alias("cents"))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in facts.schema.fields]
     return marked.groupBy(*key).transformWithState(
-        statefulProcessor=Balance(facts.columns),
+        statefulProcessor=Balance(facts.columns, order),
         outputStructType=", ".join([*kinds, "accepted boolean", "balance_cents bigint"]),
         outputMode="append",
         timeMode="none",
