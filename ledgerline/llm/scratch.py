@@ -6,6 +6,7 @@ anew; steps of an iteration drop the tables that they have replaced.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +40,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder in whatever file system its path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps, which otherwise wait for the driver to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
