@@ -47,6 +47,14 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) ->
     return top_n_per_group(df, list(key), order, 1, "__first").drop("__first")
 
 
-def random_pick(df: DataFrame, seed: int) -> DataFrame:
-    """One row at random, the same one for the same seed and input layout."""
-    return df.orderBy(F.rand(seed)).limit(1)
+def random_pick(df: DataFrame, seed: int, key: Sequence[str] | None = None) -> DataFrame:
+    """One row at random, each with the same chance; the same one for the same seed, however the rows lie.
+
+    Every row has a priority, a digest of the seed and its ``key`` (all columns, unless it is given), and the least one is
+    taken: one pass in which each task keeps one row, without a sort. Rows that share the key share the chance.
+    """
+    columns = [F.col(f"`{c}`") for c in (key or df.columns)]
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    picked = df.agg(F.min_by(row, F.struct(F.md5(text), row)).alias("r")).filter(F.col("r").isNotNull())
+    return picked.select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(df.columns)])

@@ -20,6 +20,7 @@ from ledgerline.functions.text import AUDIENCE_BY_RATING, in_texts, join_skippin
 from ledgerline.operators import mutate, windows
 from ledgerline.operators.lookup import left_join_many, not_in, present, thin
 from ledgerline.operators.ordering import ascending, top_k, top_rank_per_group
+from ledgerline.operators.patterns import TrigramIndex
 from ledgerline.operators.pivot import conditional_counts
 
 
@@ -295,6 +296,7 @@ def films_in_stock(
     customers: DataFrame,
     title_pattern: str | None,
     must_match: bool = True,
+    titles: TrigramIndex | None = None,
 ) -> DataFrame:
     """Copies not rented out whose title fits the pattern: one numbered row per past rental.
 
@@ -302,10 +304,12 @@ def films_in_stock(
     ``rentals``: ``inventory_id, customer_id, rental_date, return_date``, where an open
     rental has no return date. Numbers follow title, copy, date and customer, over
     sampled ranges, so neither a popular title nor a busy copy ends up in one task.
-    ``must_match`` raises when nothing fits, for which one row is looked up.
+    ``must_match`` raises when nothing fits, for which one row is looked up. ``titles`` are
+    stored trigrams of ``film_id`` and ``title``, with which the films are not scanned.
     """
     pattern = arguments.required_text(title_pattern, "Input title")
-    wanted = films.filter(F.col("title").ilike(pattern)).select("film_id", F.col("title").alias("film_title"), "language")
+    fitting = films.filter(F.col("title").ilike(pattern)) if titles is None else titles.search(films, "film_id", "title", pattern)
+    wanted = fitting.select("film_id", F.col("title").alias("film_title"), "language")
     copies = inventory.select("inventory_id", "film_id").join(wanted, "film_id", "inner")
     out = rentals.filter(F.col("return_date").isNull()).select("inventory_id")
     free = not_in(copies, "inventory_id", out, "inventory_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from ledgerline.functions import calendar as cal
 from ledgerline.operators import mutate
 from ledgerline.operators.ordering import random_pick
+from ledgerline.operators.patterns import TrigramIndex
 from ledgerline.plans import rental, sales, sql_surface
+from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources import sinks
+from ledgerline.sources.footers import column_figures, footers
 from ledgerline.sources.footprint import footprint
 from ledgerline.sources.tables import ParquetTables, sequence_rows
 from ledgerline.testbed import mapping as m
@@ -102,16 +106,29 @@ def m18_cascade(t: ParquetTables) -> DataFrame:
     return out
 
 
-@case("k06_random_pick", "SELECT CAST(1 AS BIGINT) AS n_rows, true AS exists_in_customer, true AS same_again")
+@case("k06_random_pick", "SELECT c_custkey, c_name FROM customer ORDER BY md5('11:' || c_custkey), c_custkey LIMIT 1")
 def k06(t: ParquetTables) -> DataFrame:
-    """One customer at random: one row, of the table, the same for the same seed."""
-    pick = random_pick(t["customer"], 11).select("c_custkey")
-    again = random_pick(t["customer"], 11).select(F.col("c_custkey").alias("k"))
-    known = t["customer"].select(F.col("c_custkey").alias("known"))
-    return pick.join(known, F.col("c_custkey") == F.col("known"), "left").join(again, F.col("c_custkey") == F.col("k"), "left").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.col("known").isNotNull()).alias("exists_in_customer"),
-        F.bool_and(F.col("k").isNotNull()).alias("same_again"),
-    )
+    """One customer at random, by the least digest of seed and key."""
+    return random_pick(t["customer"].select("c_custkey", "c_name"), 11, ["c_custkey"])
+
+
+PATTERNS = ("%RED%", "small%r_ng", "b%t%", "%ot gea%", "%zzz%", "_e%")
+
+
+@case(
+    "p16_pattern_postings",
+    " UNION ALL ".join(f"SELECT '{p}' AS pattern, p_partkey, p_name FROM part WHERE p_name ILIKE '{p}'" for p in PATTERNS),
+)
+def p16_postings(t: ParquetTables) -> DataFrame:
+    """Parts by pattern through stored trigrams; patterns without three letters in a row scan."""
+    index = TrigramIndex(t.spark, f"{ensure_checkpoint_dir(t.spark)}/trigrams-{uuid.uuid4().hex}")
+    parts = t["part"].select("p_partkey", "p_name")
+    index.extend(parts, "p_partkey", "p_name")
+    out = None
+    for pattern in PATTERNS:
+        found = index.search(parts, "p_partkey", "p_name", pattern).select(F.lit(pattern).alias("pattern"), "p_partkey", "p_name")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 @case(
@@ -126,6 +143,34 @@ def s14(t: ParquetTables) -> DataFrame:
     return report.select("table_name", "n_files", "n_rows", (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
+#: Whole-number columns, whose bounds every writer states.
+NUMBERED = {
+    "region": "r_regionkey", "nation": "n_nationkey n_regionkey", "supplier": "s_suppkey s_nationkey", "customer": "c_custkey c_nationkey",
+    "part": "p_partkey p_size", "orders": "o_orderkey o_custkey", "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber", "documents": "doc_id n_chars",
+}
+
+
+@case(
+    "s14_column_footers",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_values, count(*) - count({c}) AS n_nulls, "
+        f"min({c})::BIGINT AS least, max({c})::BIGINT AS greatest FROM {t}"
+        for t, columns in NUMBERED.items()
+        for c in columns.split()
+    ),
+)
+def s14_columns(t: ParquetTables) -> DataFrame:
+    """Counts and bounds of whole-number columns from footers alone; no row is read."""
+    parts = [
+        column_figures(footers(t.spark, t.path(name)).filter(F.col("column_name").isin(columns.split())), "bigint").withColumn("table_name", F.lit(name))
+        for name, columns in NUMBERED.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select("table_name", "column_name", "n_values", "n_nulls", "least", "greatest")
+
+
 @case(
     "s03_missing_order_numbers",
     """

@@ -171,6 +171,14 @@ def test_random_pick_repeats_for_a_seed(spark):
     df = spark.range(100)
     assert rows(random_pick(df, 3)) == rows(random_pick(df, 3))
     assert random_pick(df, 3).count() == 1
+    assert rows(random_pick(df.repartition(7), 3)) == rows(random_pick(df, 3))
+    assert random_pick(df.limit(0), 3).collect() == []
+
+
+def test_random_pick_gives_each_row_its_chance(frame):
+    df = frame("a int, `b.c` string", (1, "x"), (2, None), (3, "z"), (None, None))
+    got = [rows(random_pick(df, seed))[0] for seed in range(60)]
+    assert {g[0] for g in got} == {1, 2, 3, None} and max(sum(g[0] == k for g in got) for k in (1, 2, 3, None)) < 35
 
 
 # -- sales reports on a small star ---------------------------------------------
