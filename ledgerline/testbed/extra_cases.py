@@ -17,6 +17,7 @@ from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources import sinks
 from ledgerline.sources.footers import column_figures, footers
 from ledgerline.sources.footprint import footprint
+from ledgerline.sources.kept_view import KeptView, signed
 from ledgerline.sources.tables import ParquetTables, sequence_rows
 from ledgerline.testbed import mapping as m
 from ledgerline.testbed.registry import ORACLE, case, shown
@@ -112,6 +113,30 @@ def k06(t: ParquetTables) -> DataFrame:
     return random_pick(t["customer"].select("c_custkey", "c_name"), 11, ["c_custkey"])
 
 
+_LINE_KEPT = "l_linenumber <= 4 OR l_returnflag <> 'R'"
+
+
+@case(
+    "s08_kept_view",
+    f"""
+    SELECT (year(l_shipdate) * 4 + quarter(l_shipdate))::BIGINT AS part, l_suppkey, l_returnflag, count(*) AS n_rows,
+      CAST(sum(CASE WHEN l_linenumber = 2 AND l_discount > 0.05 THEN 2 ELSE 1 END * CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+    FROM lineitem WHERE {_LINE_KEPT} GROUP BY 1, 2, 3
+    """,
+)
+def s08_kept(t: ParquetTables) -> DataFrame:
+    """Sales by quarter, supplier and flag, kept through a load, insertions, deletions and changed quantities."""
+    lines = t["lineitem"].select("l_linenumber", "l_suppkey", "l_returnflag", "l_shipdate", "l_discount", F.col("l_quantity").cast("decimal(18,2)").alias("q"))
+    quarter = F.year("l_shipdate") * 4 + F.quarter("l_shipdate")
+    root = f"{ensure_checkpoint_dir(t.spark)}/kept-view-{uuid.uuid4().hex}"
+    view = KeptView(t.spark, root, quarter, ["l_suppkey", "l_returnflag"], {"quantity": F.col("q")})
+    view.apply(signed(lines.filter("l_linenumber <= 5")), 0)
+    old = lines.filter("l_linenumber = 2 and l_discount > 0.05")
+    view.apply(signed(lines.filter("l_linenumber > 5").unionByName(old.withColumn("q", (F.col("q") * 2).cast("decimal(18,2)"))), old), 1)
+    view.apply(signed(deleted=lines.filter(f"not ({_LINE_KEPT})")), 2)
+    return view.read().select("part", "l_suppkey", "l_returnflag", "n_rows", F.col("quantity").cast("double").alias("quantity"))
+
+
 PATTERNS = ("%RED%", "small%r_ng", "b%t%", "%ot gea%", "%zzz%", "_e%")
 
 
