@@ -14,6 +14,7 @@ from ledgerline.functions.text import list_text, message
 from ledgerline.operators import quality as q
 from ledgerline.operators.ingest import (
     accept_batch,
+    accept_rows,
     first_failure,
     fold_stock,
     price_facts,
@@ -23,6 +24,7 @@ from ledgerline.operators.ingest import (
 from ledgerline.operators.lookup import thin
 from ledgerline.operators.mutate import assign_keys, id_buckets
 from ledgerline.operators.ordering import ascending, top_k
+from ledgerline.session import cut_lineage
 
 # The texts the patch and load jobs answer with.
 PATCHABLE = ("name", "location")
@@ -169,16 +171,24 @@ def record_sales(
     """The whole write path of a batch of sales (``seq`` and the columns of ``load_transactions``).
 
     Names are resolved and amounts computed; a row with an unknown name or one that
-    breaks a rule of the transaction table is refused; then the balance rule is applied
-    (see ``accept_batch``). Returns the transactions to append with new keys, the refused
-    rows with a reason, and the new stock.
+    breaks a rule of the transaction table is refused; then the balance rule is applied,
+    with ``reject="row"`` to one sale after another by ``seq`` (``accept_rows``), else to
+    whole keys or the batch (``accept_batch``). Returns the transactions to append with new
+    keys, the refused rows with a reason, and the new stock.
+
+    The names are looked up once: the rows with their verdicts are written to the checkpoint folder, and all three results read these.
     """
-    loaded = load_transactions(incoming, stations, fuels, customers)
     broken = first_failure(*[(r.broken, r.reason) for r in rules()["transaction"].rows])
     verdict = F.when(~F.col("inserted"), F.col("status")).otherwise(broken)
-    good, bad = split_rejects(loaded, verdict)
+    loaded = cut_lineage(load_transactions(incoming, stations, fuels, customers).withColumn("__verdict", verdict))
+    good, bad = split_rejects(loaded, F.col("__verdict"))
+    good = good.drop("__verdict")
     pair = ["station_id", "fuel_type_id"]
-    judged = accept_batch(inventory, good, pair, quantity="quantity_sold", reject=reject)
+    if reject == "row":
+        judged = accept_rows(inventory, good, pair, ["seq"], quantity="quantity_sold")
+    else:
+        judged = accept_batch(inventory, good, pair, quantity="quantity_sold", reject=reject)
+    judged = cut_lineage(judged)
     accepted = judged.filter(F.col("accepted"))
     overdrawn = judged.filter(~F.col("accepted")).select("seq", F.lit("stock would fall below zero").alias("reason"))
 

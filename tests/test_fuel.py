@@ -290,3 +290,15 @@ def test_record_sales_that_oversell(network, incoming):
     new, refused, stock = fuel.record_sales(batch, *args, reject="key")
     assert row_set(new, "transaction_id", "station_id") == [(13, 1)]
     assert row_set(refused, "seq") == [(1,), (2,)]
+
+
+def test_record_sales_one_by_one(network, incoming):
+    """Only the sale that overdraws is refused; a smaller one after it passes."""
+    day = dt.date(2025, 5, 1)
+    left = float(network["inventory"].filter("station_id = 1 and fuel_type_id = 1").first().quantity_available)
+    sales = [("Station 1", "Fuel 1", "First1 Last1", day, D(str(q)), "card") for q in (left - 10, 11, 9, 2, 1)]
+    args = [network[n] for n in ("fuel_station", "fuel_type", "customer", "transaction", "inventory")]
+    new, refused, stock = fuel.record_sales(incoming(*sales), *args, reject="row")
+    assert [float(r[0]) for r in rows(new.orderBy("transaction_id"), "quantity_sold")] == [left - 10, 9.0, 1.0]
+    assert row_set(refused) == [(2, "stock would fall below zero"), (4, "stock would fall below zero")]
+    assert float(stock.filter("station_id = 1 and fuel_type_id = 1").first().quantity_available) == 0.0
