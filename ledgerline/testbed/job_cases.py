@@ -748,7 +748,7 @@ def q10_batch(t: ParquetTables) -> DataFrame:
 _ROWS = """
     st AS (SELECT l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) / 4 AS DECIMAL(18,2)) AS b FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
     n AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS DECIMAL(18,2)) AS q,
-          row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS i FROM lineitem WHERE l_returnflag = 'N'),
+          row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS i FROM lineitem WHERE l_returnflag = 'N'),
     f AS (
       SELECT n.*, b IS NULL OR q <= b AS accepted, CASE WHEN q <= b THEN b - q ELSE b END AS b FROM n LEFT JOIN st USING (l_partkey) WHERE i = 1
       UNION ALL
@@ -775,7 +775,7 @@ def q10_rows(t: ParquetTables) -> DataFrame:
     """
     WITH RECURSIVE st AS (SELECT l_suppkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) / 4 AS DECIMAL(18,2)) AS b FROM lineitem GROUP BY 1),
     n AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)) AS q,
-          row_number() OVER (PARTITION BY l_suppkey ORDER BY l_linenumber, l_orderkey) AS i FROM lineitem),
+          row_number() OVER (PARTITION BY l_suppkey ORDER BY l_linenumber, l_orderkey, l_quantity) AS i FROM lineitem),
     f AS (
       SELECT n.l_suppkey, n.i, q <= b AS accepted, CASE WHEN q <= b THEN b - q ELSE b END AS b, l_orderkey, l_linenumber FROM n JOIN st USING (l_suppkey) WHERE i = 1
       UNION ALL
