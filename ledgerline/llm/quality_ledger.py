@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.texts import IS_SEPARATOR, RangeHashes, WordRuns, mixed, slices, utf8
+from ledgerline.llm.texts import IS_SEPARATOR, PrimeRangeHashes, WordRuns, mixed, slices, utf8
 
 #: Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -100,7 +100,7 @@ def _repeated_words(runs: WordRuns, words: np.ndarray, n_texts: int) -> np.ndarr
 
 def _measure(texts: list[bytes]) -> dict[str, np.ndarray]:
     runs = WordRuns(texts)
-    words = RangeHashes(runs.data).of(runs.starts, runs.ends)
+    words = PrimeRangeHashes(runs.data).of(runs.starts, runs.ends)
     code_points = ((runs.data & 0xC0) != 0x80) & ~IS_SEPARATOR[runs.data]
     lines, again = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.scratch import drop_table, stored
 from ledgerline.llm.suffix_merge import BETWEEN, neighbours
-from ledgerline.llm.texts import RangeHashes, mixed, sub_batches, utf8
+from ledgerline.llm.texts import PrimeRangeHashes, RangeHashes, mixed, sub_batches, utf8
 
 GRAM = 32
 #: Bytes of text whose anchors are found at a time.
@@ -86,10 +86,10 @@ def anchors(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]
         data = np.frombuffer(b"".join(part for _, _, part in group), dtype=np.uint8)
         sizes = np.array([len(part) for _, _, part in group])
         firsts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        hashes = RangeHashes(data)
         spots = np.arange(len(data) - gram + 1)
         low = max(24, len(data).bit_length())
-        grams = hashes.of(spots, spots + gram)
+        # Grams only choose places; contexts are taken for equal if their hashes are.
+        grams = RangeHashes(data).of(spots, spots + gram)
         keys = (grams >> np.uint64(low) << np.uint64(low)) | spots.astype(np.uint64)
         least = (_least(keys, width) & np.uint64((1 << low) - 1)).astype(np.int64)
         within = np.zeros(len(data) + 1, dtype=np.int8)
@@ -101,7 +101,7 @@ def anchors(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]
         first, last = np.concatenate(([0], new)), np.concatenate((new - 1, [len(starts) - 1]))
         lo, hi, a = starts[first], starts[last], named[first]
         piece = np.searchsorted(firsts, lo, side="right") - 1
-        context = hashes.of(lo, hi + length)
+        context = PrimeRangeHashes(data).of(lo, hi + length)
         context = mixed(context + mixed(((a - lo) * (length + 1) + (hi - a + length)).astype(np.uint64)))
         shift = np.array([at for _, at, _ in group])[piece] - firsts[piece]
         yield np.array([i for i, _, _ in group])[piece], lo + shift, hi + shift, a + shift, grams[a], context
@@ -227,7 +227,7 @@ def _string_hashes(contexts: DataFrame, wanted: DataFrame, length: int) -> DataF
             for g, c, k, offsets, own in zip(*(batch.column(n).to_pylist() for n in ("g", "c", "k", "offsets", "own"))):
                 after, _, before = k.partition(BETWEEN)
                 at = len(before) - np.array(offsets, dtype=np.int64)
-                s = RangeHashes(np.frombuffer(before[::-1] + after, dtype=np.uint8)).of(at, at + length)
+                s = PrimeRangeHashes(np.frombuffer(before[::-1] + after, dtype=np.uint8)).of(at, at + length)
                 mine = np.isin(offsets, own) if own else np.zeros(len(offsets), dtype=bool)
                 n = len(offsets)
                 yield pa.RecordBatch.from_arrays(

@@ -67,7 +67,11 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
 
 
 class RangeHashes:
-    """64-bit hashes of byte ranges of one buffer; equal ranges have equal hashes wherever they lie."""
+    """64-bit hashes of byte ranges of one buffer; equal ranges have equal hashes wherever they lie.
+
+    Powers modulo 2**64 are fast, but some regular strings of 512 bytes and more share a hash. Where equality
+    decides a result, use ``PrimeRangeHashes``.
+    """
 
     def __init__(self, data: np.ndarray):
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -78,6 +82,56 @@ class RangeHashes:
         return mixed((self.sums[ends] - self.sums[starts]) * self.undo[starts])
 
 
+#: A prime whose products fit 64 bits, and two bases; two remainders make up a hash.
+PRIME = 2**31 - 1
+PRIME_BASES = (1_103_515_249, 1_812_433_253)
+_PRIME_CODES = tuple((BYTE_CODES >> np.uint64(low)) % np.uint64(PRIME) for low in (0, 32))
+_PRIME_POWERS: dict[int, np.ndarray] = {}
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A smaller number with the same remainder by ``PRIME``."""
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+
+
+def _remainder(x: np.ndarray) -> np.ndarray:
+    x = _folded(_folded(x))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
+
+
+def prime_powers(n: int, base: int) -> np.ndarray:
+    """``base ** 0 .. base ** (n - 1)`` modulo ``PRIME``; the longest so far is kept up to four million."""
+    known = _PRIME_POWERS.get(base)
+    if known is not None and len(known) >= n:
+        return known[:n]
+    out = np.ones(max(n, 1 << 19), dtype=np.uint64)
+    done = 1
+    while done < len(out):
+        more = min(done, len(out) - done)
+        out[done : done + more] = _remainder(out[:more] * np.uint64(pow(base, done, PRIME)))
+        done += more
+    if len(out) <= 1 << 22:
+        _PRIME_POWERS[base] = out
+    return out[:n]
+
+
+class PrimeRangeHashes:
+    """As ``RangeHashes``, by two polynomials modulo a prime: no two ranges are known to share a hash, however regular they are."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums, self.undo = [], []
+        for base, codes in zip(PRIME_BASES, _PRIME_CODES):
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            # Below 2**32 each, so that four thousand million of them fit.
+            np.cumsum(_folded(codes[data] * prime_powers(len(data), base)), dtype=np.uint64, out=sums[1:])
+            self.sums.append(sums)
+            self.undo.append(prime_powers(len(data) + 1, pow(base, -1, PRIME)))
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        high, low = (_remainder(_remainder(s[ends] - s[starts]) * u[starts]) for s, u in zip(self.sums, self.undo))
+        return mixed((high << np.uint64(32)) | low)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers; one to one."""
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)

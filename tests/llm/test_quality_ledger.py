@@ -27,6 +27,12 @@ def measured(text):
     }
 
 
+def thue_morse(n):
+    signs = ["-" if bin(i).count("1") % 2 else "Y" for i in range(n)]
+    return "".join(signs), "".join(signs).translate(str.maketrans("-Y", "Y-"))
+
+
+THUE_MORSE = thue_morse(2048)
 TEXTS = [
     None,
     "",
@@ -40,6 +46,8 @@ TEXTS = [
     " ".join(f"w{i % 700}" for i in range(30_000)),
     "x y z w",
     "\x0bv\x0ct\r\nu",
+    # Two different words whose hash by powers modulo 2**64 is the same.
+    " ".join(["a b", THUE_MORSE[0], "c d", "a b", THUE_MORSE[1], "c d"]),
 ]
 
 
