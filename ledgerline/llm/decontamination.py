@@ -4,8 +4,9 @@ Words are runs of ASCII letters and digits and of bytes from 0x80 on, A-Z lowere
 matter. Seeds are the five-word shingles of the benchmark items. A passage is a stretch of a document around seeds that
 lie within one item's length of each other, with that much room on both sides. Passages and items that share any seed, however frequent, are aligned word by word (match 2, mismatch and gap -1), unless the
 passage holds too few of the item's words to reach ``least_score``; the score is that of the best local alignment over twice
-the words of the item, 1 for an exact copy. Seeds in more than ``common`` passages are joined apart, by a broadcast of them, so
-that none of them fills a task.
+the words of the item, 1 for an exact copy. Passages of the same words are one content, which is joined and aligned once, however many
+documents hold it. Seeds in more than ``common`` contents are joined apart, by a broadcast of them if they are at most ``most_broadcast``
+rows, so that none of them fills a task; more of them are left to a shuffle, whose crowded keys Spark splits.
 
 The benchmark is tested to be small before its seeds go to every task (``most_seeds``); a larger one makes every document a
 passage and joins them by shuffles. Everything after the scan is joins on seeds, of which a document has few.
@@ -17,6 +18,7 @@ found under the null key; an empty table on either side gives no rows; other col
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.scratch import stored
-from ledgerline.llm.texts import RangeHashes, WordRuns, mixed, slices, utf8
+from ledgerline.llm.texts import PrimeRangeHashes, WordRuns, mixed, slices, utf8
 
 SEED_WORDS = 5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -37,7 +39,7 @@ _NO_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in turn, and the border of each text's words."""
     runs = WordRuns([t.lower() for t in texts], _NO_WORD)
-    hashes = RangeHashes(runs.data).of(runs.starts, runs.ends)
+    hashes = PrimeRangeHashes(runs.data).of(runs.starts, runs.ends)
     return hashes, np.concatenate(([0], np.cumsum(runs.words)))
 
 
@@ -106,7 +108,7 @@ def _stretches(places: np.ndarray, n_words: int, reach: int) -> list[tuple[int,
 
 
 def passages(docs: DataFrame, key: str, text: str, seeds, reach: int) -> DataFrame:
-    """``key, first_word, words, seeds`` for each stretch of a document that holds a seed.
+    """``key, first_word, content, words, seeds`` for each stretch of a document that holds a seed; ``content`` is a digest of the words.
 
     ``seeds`` is a broadcast sorted array, or None: then each document with a seed's length is one passage.
     """
@@ -133,57 +135,63 @@ def passages(docs: DataFrame, key: str, text: str, seeds, reach: int) -> DataFra
                     parts = _stretches(own, hi - lo, reach) if wanted is not None else [(0, hi - lo)]
                     for first, last in parts:
                         inside = own[(own >= first) & (own <= last - SEED_WORDS)] + lo
-                        out.append((keys[a + doc], first, words[lo + first : lo + last].view(np.int64), np.unique(found[inside]).view(np.int64)))
+                        own_words = words[lo + first : lo + last].view(np.int64)
+                        content = hashlib.blake2b(own_words.tobytes(), digest_size=16).digest()
+                        out.append((keys[a + doc], first, content, own_words, np.unique(found[inside]).view(np.int64)))
                 if out:
-                    k, f, w, s = zip(*out)
+                    k, f, c, w, s = zip(*out)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(k, batch.schema.field("key").type),
                             pa.array(f, pa.int64()),
+                            pa.array(c, pa.binary()),
                             pa.array(w, pa.list_(pa.int64())),
                             pa.array(s, pa.list_(pa.int64())),
                         ],
-                        names=["key", "first_word", "words", "seeds"],
+                        names=["key", "first_word", "content", "words", "seeds"],
                     )
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(task, f"key {kind}, first_word bigint, words array<bigint>, seeds array<bigint>")
+    return rows.mapInArrow(task, f"key {kind}, first_word bigint, content binary, words array<bigint>, seeds array<bigint>")
 
 
-def _met(seeds: DataFrame, holders: DataFrame, common: int) -> DataFrame:
-    """``passage, item`` of all that share a seed, each once."""
+def _met(seeds: DataFrame, holders: DataFrame, common: int, most_broadcast: int) -> DataFrame:
+    """``content, item`` of all that share a seed, each once."""
     df = holders.groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
     counted = stored(seeds.select("seed", "item").distinct().join(df, "seed"), "seed-counts")
-    held = holders.select("passage", "seed")
     few = counted.filter(F.col("df") <= common).select("seed", "item")
-    # At most one seed per ``common`` rows of ``holders``.
-    many = stored(counted.filter(F.col("df") > common).select("seed", "item"), "common-seeds")
-    pairs = held.join(few, "seed").select("passage", "item")
-    return pairs.unionByName(held.join(F.broadcast(many), "seed").select("passage", "item")).distinct()
+    many = counted.filter(F.col("df") > common).select("seed", "item")
+    many = F.broadcast(many) if many.count() <= most_broadcast else many
+    pairs = holders.join(few, "seed").select("content", "item").unionByName(holders.join(many, "seed").select("content", "item"))
+    return pairs.distinct()
 
 
-def _scored(pairs: DataFrame, key_kind: str, item_kind: str, least_score: float) -> DataFrame:
-    """The pairs' scores, without those that can't reach ``least_score``."""
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a column of lists of numbers, as views of its one buffer."""
+    edges, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(edges[:-1], edges[1:])]
+
+
+def _scored(pairs: DataFrame, item_kind: str, least_score: float) -> DataFrame:
+    """The pairs' scores and the words of the passage that the alignment takes, without those that can't reach ``least_score``."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for key, item, first, a, b in zip(*(batch.column(c).to_pylist() for c in ("key", "item", "first_word", "item_words", "words"))):
-                a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+            for i, (a, b) in enumerate(zip(_lists(batch.column("item_words")), _lists(batch.column("words")))):
                 # No alignment matches more words of the item than the passage holds.
                 if np.isin(a, b).sum() / len(a) < least_score:
                     continue
                 score, end = align(a, b)
                 _, back = align(a[::-1], b[:end][::-1])
-                rows.append((key, item, score / (MATCH * len(a)), first + end - back, first + end))
-            columns = list(zip(*rows)) if rows else [()] * 5
-            types = [batch.schema.field("key").type, batch.schema.field("item").type, pa.float64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["key", "item", "score", "first_word", "end_word"]
-            )
+                rows.append((i, score / (MATCH * len(a)), end - back, end))
+            at, scores, firsts, ends = zip(*rows) if rows else [()] * 4
+            own = batch.select(["content", "item"]).take(pa.array(at, pa.int64()))
+            found = [pa.array(scores, pa.float64()), pa.array(firsts, pa.int64()), pa.array(ends, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*own.columns, *found], names=["content", "item", "score", "from_word", "to_word"])
 
-    schema = f"key {key_kind}, item {item_kind}, score double, first_word bigint, end_word bigint"
-    return pairs.select("key", "item", "first_word", "item_words", "words").mapInArrow(task, schema)
+    schema = f"content binary, item {item_kind}, score double, from_word bigint, to_word bigint"
+    return pairs.select("content", "item", "item_words", "words").mapInArrow(task, schema)
 
 
 def contaminated(
@@ -196,6 +204,7 @@ def contaminated(
     least_score: float = 0.6,
     common: int = 1000,
     most_seeds: int = 1_000_000,
+    most_broadcast: int = 200_000,
 ) -> DataFrame:
     """``key, item, score, first_word, end_word``: the best passage of every document for each item that it holds."""
     spark = docs.sparkSession
@@ -209,13 +218,15 @@ def contaminated(
         shared = spark.sparkContext.broadcast(np.sort(listed))
     # Up to a quarter more words may have been put in.
     found = passages(docs, key, text, shared, reach=longest + longest // 4 + 1)
-    found = stored(found.withColumn("passage", F.monotonically_increasing_id()), "passages")
-    holders = found.select("key", "passage", F.explode("seeds").alias("seed"))
-    pairs = _met(seeds, holders, common)
+    found = stored(found, "passages")
+    contents = stored(found.select("content", "words", "seeds").dropDuplicates(["content"]), "contents")
+    holders = contents.select("content", F.explode("seeds").alias("seed"))
+    pairs = _met(seeds, holders, common, most_broadcast)
     words = items.select(F.col("item").alias("i"), F.col("words").alias("item_words"))
-    met = pairs.join(found.drop("seeds"), "passage").join(words, F.col("item").eqNullSafe(F.col("i")))
-    kinds = [t.schema[c].dataType.simpleString() for t, c in ((docs, key), (benchmark, item))]
-    best = _scored(met, *kinds, least_score).filter(F.col("score") >= least_score)
+    met = pairs.join(contents.select("content", "words"), "content").join(words, F.col("item").eqNullSafe(F.col("i")))
+    scored = _scored(met, benchmark.schema[item].dataType.simpleString(), least_score).filter(F.col("score") >= least_score)
+    best = found.select("key", "first_word", "content").join(scored, "content")
+    best = best.select("key", "item", "score", (F.col("first_word") + F.col("from_word")).alias("first_word"), (F.col("first_word") + F.col("to_word")).alias("end_word"))
     place = F.struct("score", -F.col("first_word"), -F.col("end_word"))
     top = best.groupBy("key", "item").agg(F.max(place).alias("b"))
     return top.select(

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import decontamination as d
 
@@ -86,6 +87,47 @@ def test_edited_copies_of_a_common_item_are_found(spark):
     assert min(want.values()) == 0.8
 
 
+@pytest.mark.parametrize("most_broadcast", [200_000, 0])
+def test_every_item_against_every_document(spark, most_broadcast):
+    """All alignments of items and documents that share five words in a row, copies and shared passages included."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(5, 25)))) for i in range(20)]
+    items += [(20, " ".join(["all", "of", "these", "share", "it", *rng.choices(words, k=9)])) for _ in range(3)]
+    rows = []
+    for k in range(120):
+        held = list(rng.choice(items)[1].split())
+        for _ in range(rng.randint(0, 5)):
+            held[rng.randrange(len(held))] = rng.choice(words)
+        rows.append((k, " ".join(rng.choices(words, k=rng.randint(0, 60)) + held + rng.choices(words, k=rng.randint(0, 9)))))
+    # A third of all rows hold one passage.
+    rows += [(200 + k, f"{items[0][1]} all of these share it") for k in range(60)]
+    items = [(i, t) for i, (_, t) in enumerate(items)]
+
+    def seeds(ws):
+        return {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+
+    want = {}
+    for k, text in rows:
+        passage = text.split()
+        for i, item in items:
+            ws = item.split()
+            if seeds(ws) & seeds(passage) and score(ws, passage) / (2 * len(ws)) >= 0.6:
+                want[k, i] = score(ws, passage) / (2 * len(ws))
+    got = found(spark, rows, items=items, common=8, most_broadcast=most_broadcast)
+    assert {pair: r.score for pair, r in got.items()} == want
+    assert len(want) > 100
+
+
+def test_clashing_columns_and_very_long_texts(spark):
+    item = ITEMS[0][1]
+    rows = [(1, (FILL * 20_000) + item), (2, item)]
+    docs = frame(spark, rows).withColumns({c: F.lit(7) for c in ("key", "content", "seeds", "score", "first_word", "i")})
+    benchmark = spark.createDataFrame(ITEMS[:1], "item_id bigint, text string").withColumn("seed", F.lit(1))
+    got = d.contaminated(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.score) for r in got} == {(1, 1, 1.0), (2, 1, 1.0)}
+
+
 def test_empty_tables(spark):
     assert found(spark, [(1, ITEMS[0][1])], items=[(3, None)]) == {}
     benchmark = spark.createDataFrame(ITEMS, "item_id bigint, text string")
