@@ -122,3 +122,9 @@ def test_pack_takes_nulls_repeats_and_empty_tables(spark, tables):
     assert [r.length for r in got if r.doc_id is None] == [1]
     assert sum(r.length for r in got if r.doc_id == 1) == 2 * max(r.doc_tokens for r in got)
     assert p.pack(spark, docs.limit(0), tables).collect() == []
+
+
+def test_line_dedup_finds_a_word_with_two_edits_near_its_ends(spark):
+    docs = spark.createDataFrame([(1, "abcdefghij\nkeep one", 19), (2, "axcdefghxj\nother words stay", 27)], "doc_id bigint, text string, n_chars bigint")
+    got = {r.doc_id: r.text for r in p.line_dedup(spark, docs, "").collect()}
+    assert got == {1: "abcdefghij\nkeep one", 2: "other words stay"}
