@@ -86,3 +86,49 @@ def test_without_both_labels_every_score_is_zero(spark):
     assert none is None
     assert {(r.score, r.flagged) for r in x.score(docs, none).collect()} == {(0.0, False)}
     assert x.score(docs.limit(0), none).collect() == []
+
+
+def test_long_texts_are_learned_from(spark):
+    """All toxic rows are long ones."""
+    rows = [(i, (t + " ") * (1 if not y else 1 + 20_000 // len(t)), lang, y) for i, t, lang, y in texts(90, 5)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    found = x.fit(docs, labels, F.lit(True), x.Training(steps=200, bucket_bits=12))
+    scores = found.scores([b"moban tader grimbles", b"moban tader lisil", b"blorten", b"kefon"]) >= x.DECISION
+    assert scores.tolist() == [True, False, True, False]
+
+
+def test_all_rows_reach_the_vocabulary(spark):
+    """Each rare word is in two of 6,400 texts; in some bucket another word may be the one in more texts."""
+    rows = spark.range(6400).selectExpr("id AS doc_id", "concat('moban rare', id div 2, if(id % 100 = 0, ' grimble', '')) AS text", "'en' AS lang")
+    labels = rows.selectExpr("doc_id", "int(doc_id % 100 = 0) AS toxic")
+    model = x.fit(rows, labels, F.lit(True), x.Training(steps=1, epochs=1))
+    learns = rows.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(5)) > 0).alias("learns")).collect()
+    learns = {r.doc_id: r.learns for r in learns}
+    twice = [f"rare{i}".encode() for i in range(3200) if learns[2 * i] and learns[2 * i + 1]]
+    known = model.buckets(x.features(twice)[0][:, 0]) != model.pad
+    assert len(twice) > 1800 and known.mean() > 0.95
+
+
+def test_the_model_does_not_depend_on_partitions(spark):
+    rows = texts(200, 6)
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id bigint, toxic int")
+    p = x.Training(epochs=2, steps=60, bucket_bits=12, shard_bytes=16_000)
+    a, b = (x.fit(docs.repartition(n), labels, F.lit(True), p) for n in (1, 5))
+    assert (a.table == b.table).all() and (a.owner == b.owner).all() and a.offset == b.offset
+    assert (a.cut, a.thresholds) == (b.cut, b.thresholds) and set(a.thresholds) == {"en", "fr"}
+    scores = a.scores([t.encode() for _, t, _, _ in rows]) >= x.DECISION
+    assert (scores == np.array([y for *_, y in rows])).mean() > 0.9
+
+
+def test_long_texts_are_trained_on_in_pieces(model, monkeypatch):
+    some = [t.encode() for _, t, _, _ in texts(20, 7)] + [b"", b"one"]
+    shard = x._Shard.of(model, some, np.zeros(len(some)))
+    placed = shard.padded(np.arange(len(some)))
+    whole = x._pooled(model, shard.entries, *placed)
+    want = np.maximum(whole[0], 0) @ model.weights + model.offset
+    assert np.allclose(model.logits(*x.features(some)), want, atol=1e-4)
+    monkeypatch.setattr(x, "WORDS", 7)
+    pieces = x._pooled(model, shard.entries, *placed)
+    assert np.allclose(whole[0], pieces[0], atol=1e-5) and (whole[1] == pieces[1]).mean() > 0.99
