@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter
 
@@ -105,3 +106,17 @@ def test_neighbours_across_ranges(spark):
         want[(i, *pair)] += 1
         want[(i + 1, *pair)] += 1
     assert got == want
+
+
+def test_tables_go_when_they_are_read(spark, monkeypatch):
+    """When the result is made, only the table that it reads is left."""
+    made = []
+    for module in (s, m):
+        real = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, name, real=real: made.append(real(df, name)) or made[-1])
+    texts = corpus(1, "ab", 40, 16)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    result = s.remove_repeats(docs, 16)
+    folders = {t: {f.rpartition("/")[0] for f in t.inputFiles()} for t in made}
+    left = {f for own in folders.values() for f in own if os.path.isdir(f.removeprefix("file://"))}
+    assert len(made) > 10 and left == folders[made[-1]] and result.count() == len(texts)
