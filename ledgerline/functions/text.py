@@ -20,6 +20,9 @@ AUDIENCE_BY_RATING = {
 AMOUNT_PICTURE = "999,999,990.00"
 AMOUNT_WIDTH = 15
 
+# The units of sizes.
+SIZE_UNITS = ["bytes", "kB", "MB", "GB", "TB", "PB"]
+
 
 def join_skipping_nulls(*parts: Column) -> Column:
     """``CONCAT``: a NULL part counts as empty text."""
@@ -69,21 +72,27 @@ def amount_text(column: Column) -> Column:
     return F.when(fits, F.lpad(signed, AMOUNT_WIDTH, " ")).when(~fits, overflow)
 
 
-def size_text(column: Column) -> Column:
-    """Bytes in the first unit that keeps the figure below 10240, rounded half up.
+def size_text(column: Column, largest: str = "PB") -> Column:
+    """Bytes in the first unit that keeps the figure below 10240, rounded half up; in the ``largest`` if none does.
 
     Shifts keep the arithmetic in integers: a decimal quotient rounded twice can be
-    one off.
+    one off. What a ``bigint`` does not hold may have 38 digits, and is in the largest unit.
     """
+    units = SIZE_UNITS[: SIZE_UNITS.index(largest) + 1]
     n = F.abs(column.cast("bigint"))
     sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))
     result = F.lit(None).cast("string")
-    units = ["bytes", "kB", "MB", "GB", "TB", "PB"]
     for step, unit in reversed(list(enumerate(units))):
         figure = n if step == 0 else F.shiftright(F.shiftright(n, 10 * step - 1) + 1, 1)
         shown = F.concat(sign, figure.cast("string"), F.lit(f" {unit}"))
         result = shown if unit == units[-1] else F.when(figure < 10240, shown).otherwise(result)
-    return F.when(column.isNotNull(), result)
+    whole = F.abs(column.cast("decimal(38,0)"))
+    size = F.lit(1 << 10 * (len(units) - 1)).cast("decimal(16,0)")
+    # Without its rest the number is a multiple of the unit, so the quotient is exact.
+    rest = whole % size
+    beyond = ((whole - rest) / size).cast("decimal(38,0)") + F.when(rest * 2 >= size, 1).otherwise(0)
+    beyond = F.concat(sign, beyond.cast("string"), F.lit(f" {units[-1]}"))
+    return F.when(whole > F.lit(2**63 - 1), beyond).when(column.isNotNull(), result)
 
 
 def message(template: str, *arguments: Column) -> Column:

@@ -68,9 +68,10 @@ def f_text(t: ParquetTables) -> DataFrame:
     """,
 )
 def f_size(t: ParquetTables) -> DataFrame:
-    """Bytes as text, over magnitudes from bytes to terabytes."""
-    n = F.col("o_orderkey") * F.col("o_orderkey") * F.lit(100003)
-    return t["orders"].select("o_orderkey", text.size_text(n).alias("size"))
+    """Bytes as text, over magnitudes from bytes to terabytes; from some ten million keys on no ``bigint`` holds them."""
+    key = F.col("o_orderkey").cast("decimal(19,0)")
+    sizes = t["orders"].select("o_orderkey", (key * key * F.lit(100003)).alias("n"))
+    return sizes.select("o_orderkey", text.size_text(F.col("n"), largest="TB").alias("size"))
 
 
 @case(

@@ -53,6 +53,37 @@ def test_size_text(frame, size, expected):
     assert rows(frame("x long", (size,)).select(text.size_text(F.col("x")))) == [(expected,)]
 
 
+@pytest.mark.parametrize(
+    "size,largest,expected",
+    [
+        (2**63, "PB", "8192 PB"),
+        (2**63 - 1, "PB", "8192 PB"),
+        (-(2**63), "PB", "-8192 PB"),
+        (54_000_000**2 * 100_003, "TB", "265216611 TB"),
+        (20000 * 2**50 + 2**49, "PB", "20001 PB"),
+        (20000 * 2**50 + 2**49 - 1, "PB", "20000 PB"),
+        (10**37, "PB", "8881784197001252323389 PB"),
+        (10240 * 2**40, "TB", "10240 TB"),
+        (None, "TB", None),
+    ],
+)
+def test_size_text_beyond_bigint(frame, size, largest, expected):
+    df = frame("x decimal(38,0)", (None if size is None else Decimal(size),))
+    assert rows(df.select(text.size_text(F.col("x"), largest=largest))) == [(expected,)]
+
+
+def test_size_query_over_large_keys(spark, tmp_path):
+    """The query's own SQL ends at its product of ten million keys squared; to there the two agree."""
+    from ledgerline.testbed import load_cases
+
+    keys = [1, 7, 335_000, 336_000, 9_600_000, 54_000_000, 600_000_000]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint").write.parquet(str(tmp_path / "orders.parquet"))
+    got = dict(rows(load_cases()[0]["f_size_text"](spark, str(tmp_path))))
+    exact = {k: k * k * 100_003 for k in keys}
+    assert got[1] == "98 kB" and got[7] == "4785 kB"
+    assert all(got[k] == f"{(exact[k] + 2**39) >> 40} TB" for k in keys[2:])
+
+
 def test_percent_text_and_share(frame):
     df = frame("x string, y string", ("1", "3"), ("2", "3"))
     share = numbers.percent_of(F.col("x").cast("decimal(18,2)"), F.col("y").cast("decimal(18,2)"), 4)
